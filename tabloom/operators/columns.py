@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.profile import column_facts, facts_frame, ident
+from tabloom.operators.profile import redundancy_facts, facts_frame, ident
 
 
 def redundant_columns(df: DataFrame, columns: Sequence[str] | None = None, reason: str | None = None) -> DataFrame:
@@ -16,7 +16,7 @@ def redundant_columns(df: DataFrame, columns: Sequence[str] | None = None, reaso
 
     With ``reason`` only that test applies; otherwise the first applicable reason wins.
     """
-    facts = facts_frame(df, column_facts(df, columns))
+    facts = facts_frame(df, redundancy_facts(df, columns))
     report = facts.where(F.col("drop_reason").isNotNull())
     if reason is not None:
         report = report.where(F.col("drop_reason") == reason)

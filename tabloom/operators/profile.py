@@ -118,30 +118,65 @@ def mean_tokens(c: Column) -> Column:
     return F.avg(F.when(c.isNotNull(), token_count(c).cast("double")))
 
 
-def _scan_one(name: str, kind: str) -> dict[str, Column]:
-    c = ident(name)
-    none_d, none_b, none_s = F.lit(None).cast("double"), F.lit(None).cast("boolean"), F.lit(None).cast("string")
-    numeric, dt = kind in ("int", "float"), kind == "datetime"
-    return {
-        "kind": F.lit(kind),
-        "n": F.count(F.lit(1)),
-        "n_null": F.count_if(c.isNull()),
-        "missing_ratio": missing_ratio(c),
-        "skewness": skewness(c) if numeric else none_d,
-        "zero_ratio": zero_ratio(c) if numeric else none_d,
-        "has_negative": has_negative(c) if numeric else none_b,
-        "variance": variance(c) if numeric else none_d,
-        "mean": F.avg(c) if numeric else none_d,
-        "min": F.min(c).cast("double") if numeric else none_d,
-        "max": F.max(c).cast("double") if numeric else none_d,
-        "is_integer": (all_whole(c) if kind == "float" else F.lit(True)) if numeric else none_b,
-        "true_ratio": true_ratio(c, kind) if kind != "datetime" else none_d,
-        "min_date": F.min(F.to_date(c)).cast("string") if dt else none_s,
-        "max_date": F.max(F.to_date(c)).cast("string") if dt else none_s,
-        "has_time": has_time(c) if dt else none_b,
-        "avg_tokens": mean_tokens(c) if kind == "string" else none_d,
-        "all_datetime": parses_as_datetime(c) if kind == "string" else none_b,
-    }
+def _scan_one(name: str, kind: str) -> dict[str, str]:
+    """The aggregates a kind needs, as SQL text (one call per expression keeps planning cheap)."""
+    c = f"`{name}`"
+    words = ", ".join(f"'{w}'" for w in TRUE_WORDS)
+    out = {"n_seen": f"count({c})"}
+    if kind in ("int", "float"):
+        x = f"cast({c} as double)"
+        out |= {
+            "skew_pop": f"skewness({x})",
+            "zero_ratio": f"coalesce(avg(cast({c} = 0 as double)), 0d)",
+            "variance": f"var_samp({x})",
+            "mean": f"avg({c})",
+            "min": f"cast(min({c}) as double)",
+            "max": f"cast(max({c}) as double)",
+        }
+    if kind == "float":
+        out["is_integer"] = f"coalesce(bool_and({c} = floor({c})), true)"
+    if kind == "bool":
+        out["true_ratio"] = f"avg(cast({c} as double))"
+    if kind == "datetime":
+        out |= {
+            "min_date": f"min({c})",
+            "max_date": f"max({c})",
+            "has_time": f"coalesce(bool_or(hour({c}) != 0 or minute({c}) != 0), false)",
+        }
+    if kind == "string":
+        out |= {
+            "true_ratio": f"avg(cast(lower(trim({c})) in ({words}) as double))",
+            "avg_tokens": f"avg(case when {c} is not null then size(filter(split({c}, '\\\\s+'), t -> t != '')) end)",
+            "all_datetime": f"coalesce(bool_and(case when {c} is not null then try_to_timestamp({c}) is not null end), false)",
+        }
+    return out
+
+
+def _corrected_skewness(population: float | None, n: int) -> float | None:
+    if n < 3:
+        return None
+    return (population or 0.0) * (n * (n - 1)) ** 0.5 / (n - 2)
+
+
+def _scan(df: DataFrame, ks: Mapping[str, str]) -> dict[str, dict]:
+    stats = [(c, s, e) for c, k in ks.items() for s, e in _scan_one(c, k).items()]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.expr(e).alias(f"v{i}") for i, (_c, _s, e) in enumerate(stats)]).first()
+    facts: dict[str, dict] = {c: {"column": c, "kind": k, "n": row["n"]} for c, k in ks.items()}
+    for i, (c, s, _e) in enumerate(stats):
+        facts[c][s] = row[i + 1]
+    for f in facts.values():
+        seen = f.pop("n_seen")
+        f["n_null"] = f["n"] - seen
+        f["missing_ratio"] = f["n_null"] / f["n"] if f["n"] else None
+        if f["kind"] in ("int", "float"):
+            f["skewness"] = _corrected_skewness(f.pop("skew_pop"), seen)
+            f["has_negative"] = f["min"] is not None and f["min"] < 0
+            f["true_ratio"] = 1.0 - f["zero_ratio"] if seen else None
+            f.setdefault("is_integer", True)
+        for end in ("min_date", "max_date"):
+            if f.get(end) is not None:
+                f[end] = str(f[end])[:10]
+    return facts
 
 
 # ---- scan 2: frequencies ------------------------------------------------------------
@@ -347,12 +382,10 @@ def column_facts(
     """
     ks = kinds(df, columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    facts: dict[str, dict] = {}
-    for r in per_column(df, {c: _scan_one(c, k) for c, k in ks.items()}).collect():
-        facts[r["column"]] = r.asDict() | {
-            "dtype": types[r["column"]].simpleString(),
-            "has_timezone": isinstance(types[r["column"]], T.TimestampType) if ks[r["column"]] == "datetime" else None,
-        }
+    facts = _scan(df, ks)
+    for c, f in facts.items():
+        f["dtype"] = types[c].simpleString()
+        f["has_timezone"] = isinstance(types[c], T.TimestampType) if ks[c] == "datetime" else None
     for r in frequency_rollup(df, ks).collect():
         facts[r["column"]].update(r.asDict())
     for c, f in facts.items():
@@ -390,6 +423,24 @@ def column_facts(
     return list(facts.values())
 
 
+def redundancy_facts(df: DataFrame, columns: Iterable[str] | None = None) -> list[dict]:
+    """Null and distinct counts only: enough to decide which columns are redundant."""
+    ks = kinds(df, columns)
+    row = df.agg(F.count(F.lit(1)), *[F.count(ident(c)) for c in ks]).first()
+    n = row[0]
+    facts = {
+        c: {"column": c, "kind": k, "n": n, "n_null": n - row[i + 1], "missing_ratio": (n - row[i + 1]) / n if n else None}
+        for i, (c, k) in enumerate(ks.items())
+    }
+    for r in frequency_rollup(df, ks).collect():
+        facts[r["column"]].update(r.asDict())
+    for f in facts.values():
+        f.setdefault("cardinality", 0)
+        f.setdefault("cardinality_with_null", 0)
+        f["drop_reason"] = rules.drop_reason(f)
+    return list(facts.values())
+
+
 def facts_frame(df: DataFrame, facts: Sequence[Mapping]) -> DataFrame:
     rows = [tuple(f.get(field.name) for field in PROFILE_SCHEMA.fields) for f in facts]
     return df.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)
