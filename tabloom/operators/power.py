@@ -38,11 +38,6 @@ def box_cox(c: Column, lam: float) -> Column:
 _TRANSFORM = {"yeo_johnson": yeo_johnson, "box_cox": box_cox}
 
 
-def _jacobian(kind: str, c: Column) -> Column:
-    c = c.cast("double")
-    return F.signum(c) * F.log1p(F.abs(c)) if kind == "yeo_johnson" else F.ln(F.when(c > 0, c))
-
-
 def fit_lambdas(df: DataFrame, kind: str, exprs: Mapping[str, Column], digits: int = 3) -> dict[str, float]:
     """Maximum-likelihood lambda per expression, to ``digits`` decimals.
 
@@ -57,24 +52,36 @@ def fit_lambdas(df: DataFrame, kind: str, exprs: Mapping[str, Column], digits: i
         if bad:
             raise ValueError(f"box_cox needs strictly positive values: {bad}")
     best = {c: 0.0 for c in names}
+    if not names:
+        return best
+    work = df.select(*[exprs[c].cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    log = "signum({0}) * log1p(abs({0}))" if kind == "yeo_johnson" else "ln(case when {0} > 0 then {0} end)"
+    base = work.agg(*[F.expr(e) for i in range(len(names)) for e in (f"count(x{i})", f"sum({log.format(f'x{i}')})")]).first()
+    formula = _YEO_JOHNSON if kind == "yeo_johnson" else _BOX_COX
     for digit in range(digits + 1):
-        step = 10.0**-digit
-        reach = LAMBDA_RANGE if digit == 0 else 10
+        reach, step = (LAMBDA_RANGE if digit == 0 else 10), 10.0**-digit
         grid = {c: [round(best[c] + k * step, digit) for k in range(-reach, reach + 1)] for c in names}
-        aggs = []
-        for c in names:
-            x = exprs[c]
-            aggs += [F.count(x).cast("double"), F.sum(_jacobian(kind, x))]
-            aggs += [F.var_pop(_TRANSFORM[kind](x, lam)) for lam in grid[c]]
-        row = df.agg(*aggs).first()
-        width = 2 * reach + 3
+        # every value meets its own column's candidates; partial aggregation keeps one row per candidate
+        cells = [
+            f"transform(array({', '.join(f'{lam!r}d' for lam in grid[c])}), l -> struct({i} as i, l as lam, x{i} as x))"
+            for i, c in enumerate(names)
+        ]
+        long = work.select(F.expr(f"inline(concat({', '.join(cells)}))"))
+        scored = long.groupBy("i", "lam").agg(F.var_pop(F.expr(formula)).alias("v")).collect()
         for i, c in enumerate(names):
-            n, jac, *var = row[i * width : (i + 1) * width]
-            scores = [(_loglik(n, jac, v, lam), -k) for k, (lam, v) in enumerate(zip(grid[c], var))]
-            best[c] = grid[c][-max(scores)[1]]
+            var = {r["lam"]: r["v"] for r in scored if r["i"] == i}
+            best[c] = max(grid[c], key=lambda lam: (_loglik(base[2 * i], base[2 * i + 1], var.get(lam), lam), -lam))
     return best
 
 
+_YEO_JOHNSON = """case
+  when x >= 0 and lam = 0 then log1p(x)
+  when x >= 0 then (exp(log1p(x) * lam) - 1) / lam
+  when lam = 2 then -log1p(-x)
+  else -(exp(log1p(-x) * (2 - lam)) - 1) / (2 - lam) end"""
+_BOX_COX = "case when lam = 0 then ln(x) else (exp(ln(x) * lam) - 1) / lam end"
+
+
 def _loglik(n: float, jac: float | None, var: float | None, lam: float) -> float:
     import math
 

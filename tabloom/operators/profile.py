@@ -29,6 +29,7 @@ from tabloom.functions.scalars import (
     trimmed_lower,
 )
 from tabloom.operators import rules
+from tabloom.session import together
 
 LONG_VALUE = 64  # longer strings are counted by digest, so a shuffle never carries whole texts
 
@@ -382,11 +383,11 @@ def column_facts(
     """
     ks = kinds(df, columns)
     types = {f.name: f.dataType for f in df.schema.fields}
-    facts = _scan(df, ks)
+    facts, rollup = together(lambda: _scan(df, ks), lambda: frequency_rollup(df, ks).collect())
     for c, f in facts.items():
         f["dtype"] = types[c].simpleString()
         f["has_timezone"] = isinstance(types[c], T.TimestampType) if ks[c] == "datetime" else None
-    for r in frequency_rollup(df, ks).collect():
+    for r in rollup:
         facts[r["column"]].update(r.asDict())
     for c, f in facts.items():
         f.setdefault("cardinality", 0)
@@ -395,7 +396,12 @@ def column_facts(
     live = {c: f for c, f in facts.items() if f["drop_reason"] is None}
     numeric = [c for c in live if ks[c] in ("int", "float")]
     rows = next(iter(facts.values()))["n"] if facts else 0
-    if numeric:
+    strings = [c for c in live if ks[c] == "string"]
+    pairs = [c for c in strings if live[c]["cardinality"] == 2]
+    wordy = [c for c in strings if c not in pairs and (live[c]["avg_tokens"] or 0) >= rules.SEMANTIC_TOKENS]
+    short = [c for c in strings if c not in wordy]
+
+    def numbers():
         q = quartiles(df, numeric, rows)
         stats = {}
         for c in numeric:
@@ -404,22 +410,28 @@ def column_facts(
             if live[c]["is_integer"] and live[c]["cardinality"] <= rules.ORDINAL_CARDINALITY:
                 gaps = uniform_gap_expr(ident(c), live[c]["min"], live[c]["max"], live[c]["cardinality"])
             stats[c] = {"outlier_ratio": outlier_expr(ident(c), q[c][0], q[c][2]), "uniform_gaps": gaps}
-        for r in per_column(df, stats).collect():
-            facts[r["column"]].update(r.asDict())
-    strings = [c for c in live if ks[c] == "string"]
-    pairs = [c for c in strings if live[c]["cardinality"] == 2]
-    if pairs:
+        return per_column(df, stats).collect()
+
+    def value_pairs():
         row = df.agg(*[F.array_join(F.array_sort(F.collect_set(trimmed_lower(ident(c)))), "|") for c in pairs]).first()
-        for i, c in enumerate(pairs):
-            facts[c]["value_pair"] = row[i]
-    wordy = [c for c in strings if c not in pairs and (live[c]["avg_tokens"] or 0) >= rules.SEMANTIC_TOKENS]
-    if wordy:
-        for r in vocabulary(df, wordy).collect():
-            facts[r["column"]]["vocab_size"] = r["vocab_size"]
-    short = [c for c in strings if c not in wordy]
-    if short:
-        for r in ordinal_order(df, short).collect():
-            facts[r["column"]].update(n_ordinal_matches=r["n_matches"], category_order=r["category_order"])
+        return [{"column": c, "value_pair": row[i]} for i, c in enumerate(pairs)]
+
+    def orders():
+        return [
+            {"column": r["column"], "n_ordinal_matches": r["n_matches"], "category_order": r["category_order"]}
+            for r in ordinal_order(df, short).collect()
+        ]
+
+    jobs = [
+        job
+        for job, wanted in (
+            (numbers, numeric), (value_pairs, pairs), (lambda: vocabulary(df, wordy).collect(), wordy), (orders, short),
+        )
+        if wanted
+    ]
+    for rows_found in together(*jobs):
+        for r in rows_found:
+            facts[r["column"]].update(r if isinstance(r, dict) else r.asDict())
     return list(facts.values())
 
 

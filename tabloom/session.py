@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,6 +37,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def together(*jobs: Callable[[], object]) -> list:
+    """Run independent driver-side jobs at the same time; the scheduler interleaves their tasks."""
+    if len(jobs) < 2:
+        return [j() for j in jobs]
+    with ThreadPool(min(8, len(jobs))) as pool:
+        return pool.map(inheritable_thread_target(lambda j: j()), jobs)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Persist an iteratively read frame; lost blocks are recomputed from lineage."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

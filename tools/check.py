@@ -27,6 +27,9 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TIMES = {"spark": 0.0}
+
+
 def norm(v):
     if v is None:
         return None
@@ -47,7 +50,9 @@ def rows_of(columns, rows):
 
 
 def compare(spark_df, con, sql) -> str:
+    t = time.time()
     rows = [tuple(r) for r in spark_df.collect()]
+    TIMES["spark"] = time.time() - t
     a = rows_of(spark_df.columns, rows)
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
@@ -76,9 +81,11 @@ def main(argv: list[str]) -> int:
         t = time.time()
         try:
             df = fn(spark, sf)
+            build = time.time() - t
             note = compare(df, con, SQL[name]) if name in SQL else f"ok {len(df.collect())} rows, no SQL"
         except Exception as err:  # report and go on with the next query
             note = f"ERROR {type(err).__name__}: {str(err)[:600]}"
+        note += f"   [build {build:.1f}s run {TIMES['spark']:.1f}s]"
         failed += not note.startswith("ok")
         print(f"{name:28s} {time.time() - t:6.1f}s {note[:900]}", flush=True)
     print(f"failed: {failed}")
