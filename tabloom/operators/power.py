@@ -96,9 +96,12 @@ def transform_expr(kind: str, c: Column, lam: float | None = None) -> Column:
     return _TRANSFORM[kind](c, lam)
 
 
-def power_transform(df: DataFrame, kind: str, columns: Sequence[str], digits: int = 3) -> DataFrame:
-    """Yeo-Johnson or Box-Cox at the likelihood lambda, then z-scored."""
-    lams = fit_lambdas(df, kind, {c: ident(c) for c in columns}, digits)
+def power_transform(
+    df: DataFrame, kind: str, columns: Sequence[str], digits: int = 3, lams: Mapping[str, float] | None = None
+) -> DataFrame:
+    """Yeo-Johnson or Box-Cox at the likelihood (or a given) lambda, then z-scored."""
+    if lams is None:
+        lams = fit_lambdas(df, kind, {c: ident(c) for c in columns}, digits)
     exprs = {c: _TRANSFORM[kind](ident(c), lams[c]) for c in columns}
     z = learn_scaler(df, "standard", exprs)
     return df.withColumns({c: scaled(exprs[c], *z[c]) for c in columns})

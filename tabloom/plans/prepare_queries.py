@@ -138,8 +138,9 @@ def _power_query(name: str, kind: str, t: str, key: str, col: str, expr: str, ja
     @query(name, sql=_power_sql(t, key, col, expr, jac))
     def run(spark: SparkSession, sf: str) -> DataFrame:
         df = table(spark, sf, t).select(key, F.col(col).alias("z"))
-        lam = power.fit_lambdas(df, kind, {"z": F.col("z")}, digits=2)["z"]
-        return power.power_transform(df, kind, ["z"], digits=2).select(key, F.lit(lam).alias("lam"), F.round("z", 5).alias("z"))
+        lams = power.fit_lambdas(df, kind, {"z": F.col("z")}, digits=2)
+        out = power.power_transform(df, kind, ["z"], lams=lams)
+        return out.select(key, F.lit(lams["z"]).alias("lam"), F.round("z", 5).alias("z"))
 
 
 _power_query("tf_yeo_johnson", "yeo_johnson", "customer", "c_custkey", "c_acctbal", _YJ, "sign(x) * ln(1 + abs(x))")

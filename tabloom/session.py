@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,7 +42,7 @@ def together(*jobs: Callable[[], object]) -> list:
     if len(jobs) < 2:
         return [j() for j in jobs]
     with ThreadPool(min(8, len(jobs))) as pool:
-        return pool.map(inheritable_thread_target(lambda j: j()), jobs)
+        return pool.map(lambda j: j(), jobs)
 
 
 def keep(df: DataFrame) -> DataFrame:
