@@ -116,15 +116,12 @@ class RandomBins(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        cuts = json.loads(self.getOrDefault("cuts"))
-        x = vector_to_array(self.getInputCol())
-        bins = []
-        for i, edge in enumerate(cuts):
-            code = F.lit(0.0)
-            for e in edge:
-                code = code + (x[i] >= F.lit(e)).cast("double")
-            bins.append(code)
-        return df.withColumn(self.getOutputCol(), array_to_vector(F.array(*bins)))
+        edges = ", ".join(f"array({', '.join(f'{e!r}d' for e in edge)})" for edge in json.loads(self.getOrDefault("cuts")))
+        cuts = F.expr(f"cast(array({edges}) as array<array<double>>)")
+        bins = F.zip_with(
+            vector_to_array(self.getInputCol()), cuts, lambda v, c: F.size(F.filter(c, lambda e: e <= v)).cast("double")
+        )
+        return df.withColumn(self.getOutputCol(), array_to_vector(bins))
 
 
 class ExtraTrees(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
@@ -274,7 +271,7 @@ class RbfSvm(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsReada
             return Pipeline(stages=[rff, ridge]).fit(df)
         svc = LinearSVC(
             featuresCol=f"_rff{sfx}", labelCol=self.getLabelCol(), predictionCol=f"prediction{sfx}", rawPredictionCol=f"_margin{sfx}",
-            regParam=reg, standardization=False,
+            regParam=reg, standardization=False, tol=1e-4,
         )
         margin = VectorSlicer(inputCol=f"_margin{sfx}", outputCol=f"_margin1{sfx}", indices=[1])
         platt = LogisticRegression(

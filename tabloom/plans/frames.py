@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.functions.scalars import token_array
+from tabloom.session import keep
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -75,7 +76,13 @@ def docs_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled documents with twelve text statistics: a binary label that depends on its features."""
+    """Labelled documents with twelve standardised text statistics and a label that depends on them."""
+    from tabloom.operators.scale import scale
+
+    return scale(keep(raw_doc_features(spark, sf)), "standard", DOC_FEATURES)
+
+
+def raw_doc_features(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     t, n = F.col("text"), F.length("text").cast("double")
     tokens = token_array(t)
