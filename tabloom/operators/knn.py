@@ -37,7 +37,8 @@ def _assign(df: DataFrame, key: str, vector: str, pivots: np.ndarray, extra: Seq
         p = shared.value
         for pdf in batches:
             if len(pdf):
-                d = np.stack([_distances(x, p) for x in _matrix(pdf["v"])])
+                m = _matrix(pdf["v"])
+                d = np.concatenate([_all_distances(m[i : i + 256], p) for i in range(0, len(m), 256)])
                 pdf["cell"], pdf["dist"] = d.argmin(axis=1).astype("int32"), d.min(axis=1)
             else:
                 pdf["cell"], pdf["dist"] = pd.Series([], dtype="int32"), pd.Series([], dtype=float)
@@ -56,6 +57,11 @@ def _distances(x: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", diff, diff))
 
 
+def _all_distances(x: np.ndarray, others: np.ndarray) -> np.ndarray:
+    diff = x[:, None, :] - others[None, :, :]
+    return np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+
+
 def _plan(stats: list, radii: dict[int, float], pivots: np.ndarray, k: int, drop_self: bool) -> list[tuple[int, int, int]]:
     """(query cell, train cell, ring) triples that may hold neighbours; at most PIVOTS^2 x RINGS rows."""
     need = k + (1 if drop_self else 0)
@@ -105,13 +111,13 @@ def neighbours(
     qs = (
         q.withColumnRenamed("cell", "qcell").join(grid, "qcell")
         .withColumn("qb", F.pmod(F.xxhash64(key), F.col("qblocks")))
-        .withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("tblocks") - 1)).cast("bigint"))
+        .withColumn("tb", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("tblocks") - 1).cast("bigint"))))
         .select("qcell", "qb", "tb", key, "v")
     )
     ts = (
         t.join(plan, ["cell", "ring"]).join(grid, "qcell")
         .withColumn("tb", F.pmod(F.xxhash64(key), F.col("tblocks")))
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qblocks") - 1)).cast("bigint"))
+        .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("qblocks") - 1).cast("bigint"))))
         .select("qcell", "qb", "tb", F.col(key).alias("neighbour"), "v", *extra)
     )
     types = dict(train.dtypes)
