@@ -98,14 +98,19 @@ def score_table(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
+def _class_totals(df: DataFrame, label: str, score: str) -> tuple[int, int]:
+    seen = df.where(F.col(score).isNotNull())
+    return tuple(seen.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first())
+
+
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """``threshold, fpr, tpr``; the first point is (inf, 0, 0)."""
     table = score_table(df, label, score)
-    total = table.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    curve = table.join(F.broadcast(total)).select(
+    pos, neg = _class_totals(df, label, score)
+    curve = table.select(
         "threshold",
-        F.try_divide(F.col("fp").cast("double"), F.col("n")).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), F.col("p")).alias("tpr"),
+        F.try_divide(F.col("fp").cast("double"), F.lit(neg)).alias("fpr"),
+        F.try_divide(F.col("tp").cast("double"), F.lit(pos)).alias("tpr"),
     )
     start = df.sparkSession.createDataFrame([(math.inf, 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return curve.unionAll(start)
@@ -163,11 +168,10 @@ def best_threshold(df: DataFrame, label: str, score: str, metric: str = "f1") ->
     if metric not in THRESHOLD_METRICS:
         raise ValueError(f"unsupported metric {metric!r} for threshold optimisation")
     table = score_table(df, label, score)
-    total = table.agg(F.sum("pos").alias("p"))
-    tp, fp, p = F.col("tp").cast("double"), F.col("fp").cast("double"), F.col("p").cast("double")
+    tp, fp, p = F.col("tp").cast("double"), F.col("fp").cast("double"), F.lit(float(_class_totals(df, label, score)[0]))
     precision, recall, f1 = _prf(tp, fp, p - tp)
     value = {"precision": precision, "recall": recall, "f1": f1}[metric]
-    best = table.join(F.broadcast(total)).select("threshold", value.alias("s")).agg(
+    best = table.select("threshold", value.alias("s")).agg(
         F.max(F.struct(F.col("s"), F.col("threshold"))).alias("b")
     )
     # the curve starts at an infinite threshold that predicts nothing and scores 0

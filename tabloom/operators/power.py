@@ -79,7 +79,8 @@ _YEO_JOHNSON = """case
   when x >= 0 then (exp(log1p(x) * lam) - 1) / lam
   when lam = 2 then -log1p(-x)
   else -(exp(log1p(-x) * (2 - lam)) - 1) / (2 - lam) end"""
-_BOX_COX = "case when lam = 0 then ln(x) else (exp(ln(x) * lam) - 1) / lam end"
+# the constant -1 / lam does not change the variance; without it nothing cancels
+_BOX_COX = "case when lam = 0 then ln(x) else exp(ln(x) * lam) / lam end"
 
 
 def _loglik(n: float, jac: float | None, var: float | None, lam: float) -> float:

@@ -119,67 +119,83 @@ def mean_tokens(c: Column) -> Column:
     return F.avg(F.when(c.isNotNull(), token_count(c).cast("double")))
 
 
-def _scan_one(name: str, kind: str) -> dict[str, str]:
-    """The aggregates a kind needs, as SQL text (one call per expression keeps planning cheap)."""
-    c = f"`{name}`"
-    words = ", ".join(f"'{w}'" for w in TRUE_WORDS)
-    out = {"n_seen": f"count({c})"}
-    if kind in ("int", "float"):
-        x = f"cast({c} as double)"
-        out |= {
-            "skew_pop": f"skewness({x})",
-            "zero_ratio": f"coalesce(avg(cast({c} = 0 as double)), 0d)",
-            "variance": f"var_samp({x})",
-            "mean": f"avg({c})",
-            "min": f"cast(min({c}) as double)",
-            "max": f"cast(max({c}) as double)",
-        }
-    if kind == "float":
-        out["is_integer"] = f"coalesce(bool_and({c} = floor({c})), true)"
-    if kind == "bool":
-        out["true_ratio"] = f"avg(cast({c} as double))"
-    if kind == "datetime":
-        out |= {
-            "min_date": f"min({c})",
-            "max_date": f"max({c})",
-            "has_time": f"coalesce(bool_or(hour({c}) != 0 or minute({c}) != 0), false)",
-        }
-    if kind == "string":
-        out |= {
-            "true_ratio": f"avg(cast(lower(trim({c})) in ({words}) as double))",
-            "avg_tokens": f"avg(case when {c} is not null then size(filter(split({c}, '\\\\s+'), t -> t != '')) end)",
-            "all_datetime": f"coalesce(bool_and(case when {c} is not null then try_to_timestamp({c}) is not null end), false)",
-        }
-    return out
-
-
-def _corrected_skewness(population: float | None, n: int) -> float | None:
-    if n < 3:
-        return None
-    return (population or 0.0) * (n * (n - 1)) ** 0.5 / (n - 2)
+_MOMENTS = {
+    "skew_pop": "skewness(value)",
+    "zero_ratio": "coalesce(avg(cast(value = 0 as double)), 0d)",
+    "variance": "var_samp(value)",
+    "mean": "avg(value)",
+    "min": "min(value)",
+    "max": "max(value)",
+    "whole": "coalesce(bool_and(value = floor(value)), true)",
+}
+_WORDING = {
+    "true_ratio": f"avg(cast(lower(trim(value)) in ({', '.join(repr(w) for w in TRUE_WORDS)}) as double))",
+    "avg_tokens": r"avg(case when value is not null then size(filter(split(value, '\\\\s+'), t -> t != '')) end)",
+    "all_datetime": "coalesce(bool_and(case when value is not null then try_to_timestamp(value) is not null end), false)",
+}
+_MOMENTS_IN_TIME = {
+    "min_date": "cast(min(value) as string)",
+    "max_date": "cast(max(value) as string)",
+    "has_time": "coalesce(bool_or(hour(value) != 0 or minute(value) != 0), false)",
+}
+
+
+def _long_stats(df: DataFrame, columns: Sequence[str], cast: str | None, stats: Mapping[str, str]) -> DataFrame:
+    """``column, n, n_seen`` and the given aggregates of ``value`` per column.
+
+    One group per column over the unpivoted values keeps the generated aggregation loop
+    small however many columns there are; partial aggregation leaves one row per column
+    and task, so nothing but those rows is shuffled.
+    """
+    cols = [(ident(c).cast(cast) if cast else ident(c)).alias(c) for c in columns]
+    long = df.select(*cols).unpivot([], [f"`{c}`" for c in columns], "column", "value")
+    base = {"n": "count(1)", "n_seen": "count(value)"}
+    return long.groupBy("column").agg(*[F.expr(e).alias(s) for s, e in {**base, **stats}.items()])
 
 
 def _scan(df: DataFrame, ks: Mapping[str, str]) -> dict[str, dict]:
-    stats = [(c, s, e) for c, k in ks.items() for s, e in _scan_one(c, k).items()]
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.expr(e).alias(f"v{i}") for i, (_c, _s, e) in enumerate(stats)]).first()
-    facts: dict[str, dict] = {c: {"column": c, "kind": k, "n": row["n"]} for c, k in ks.items()}
-    for i, (c, s, _e) in enumerate(stats):
-        facts[c][s] = row[i + 1]
-    for f in facts.values():
+    types = dict(df.dtypes)
+    plans: dict[tuple, list[str]] = {}
+    for c, k in ks.items():
+        plans.setdefault(("number",) if k in ("int", "float") else (k, types[c] if k == "datetime" else ""), []).append(c)
+    wanted = {
+        "number": ("double", _MOMENTS),
+        "string": ("string", _WORDING),
+        "bool": (None, {"true_ratio": "avg(cast(value as double))"}),
+    }
+
+    def one(kind: str, columns: list[str]) -> list[dict]:
+        cast, stats = wanted.get(kind, (None, _MOMENTS_IN_TIME))
+        if kind == "datetime" and types[columns[0]] == "date":
+            stats = {**stats, "has_time": "false"}
+        return [r.asDict() for r in _long_stats(df, columns, cast, stats).collect()]
+
+    found = {r["column"]: r for rows in together(*[lambda k=k, c=c: one(k[0], c) for k, c in plans.items()]) for r in rows}
+    facts: dict[str, dict] = {}
+    for c, k in ks.items():
+        # an empty table yields no group at all
+        f = {"kind": k, **found.get(c, {"column": c, "n": 0, "n_seen": 0, "zero_ratio": 0.0, "min": None, "skew_pop": None, "whole": True})}
         seen = f.pop("n_seen")
         f["n_null"] = f["n"] - seen
         f["missing_ratio"] = f["n_null"] / f["n"] if f["n"] else None
-        if f["kind"] in ("int", "float"):
+        if k in ("int", "float"):
             f["skewness"] = _corrected_skewness(f.pop("skew_pop"), seen)
             f["has_negative"] = f["min"] is not None and f["min"] < 0
             f["true_ratio"] = 1.0 - f["zero_ratio"] if seen else None
-            f.setdefault("is_integer", True)
+            f["is_integer"] = f.pop("whole") or k == "int"
         for end in ("min_date", "max_date"):
             if f.get(end) is not None:
-                f[end] = str(f[end])[:10]
+                f[end] = f[end][:10]
+        facts[c] = f
     return facts
 
 
+def _corrected_skewness(population: float | None, n: int) -> float | None:
+    if n < 3:
+        return None
+    return (population or 0.0) * (n * (n - 1)) ** 0.5 / (n - 2)
+
+
 # ---- scan 2: frequencies ------------------------------------------------------------
 
 
@@ -198,20 +214,47 @@ def value_frequencies(df: DataFrame, columns: Mapping[str, str], digest: bool =
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _typed_groups(df: DataFrame, columns: Mapping[str, str]) -> list[tuple[str, list[Column], list[str]]]:
+    """Columns grouped by one common native type, so that counting needs no text conversion."""
+    types = dict(df.dtypes)
+    groups: dict[str, list[str]] = {}
+    for c, k in columns.items():
+        native = {"int": "bigint", "float": "double", "bool": "boolean", "string": "string"}.get(k, types[c])
+        groups.setdefault(native, []).append(c)
+    out = []
+    for native, names in groups.items():
+        cols = []
+        for c in names:
+            x = _as_text(c, "string") if native == "string" else ident(c).cast(native)
+            cols.append((x + F.lit(0.0) if native == "double" else x).alias(c))
+        out.append((native, cols, names))
+    return out
+
+
 def frequency_rollup(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Distinct counts and dominance per column."""
+    """Distinct counts and dominance per column.
+
+    One unpivot and one count per native type; each reads only its own columns, so all
+    types together are still a single pass over the table's bytes.
+    """
     seen = F.col("value").isNotNull()
     cnt = F.when(seen, F.col("cnt"))
-    return (
-        value_frequencies(df, columns)
-        .groupBy("column")
-        .agg(
-            F.count_if(seen).alias("cardinality"),
-            F.count(F.lit(1)).alias("cardinality_with_null"),
-            safe_div(F.max(cnt).cast("double"), F.sum(cnt)).alias("most_frequent_ratio"),
-            F.coalesce(F.try_divide(F.min(cnt).cast("double"), F.sum(cnt)) < 0.01, F.lit(False)).alias("has_rare"),
+    out = None
+    for _native, cols, names in _typed_groups(df, columns):
+        long = df.select(*cols).unpivot([], [f"`{c}`" for c in names], "column", "value")
+        rolled = (
+            long.groupBy("column", "value")
+            .agg(F.count(F.lit(1)).alias("cnt"))
+            .groupBy("column")
+            .agg(
+                F.count_if(seen).alias("cardinality"),
+                F.count(F.lit(1)).alias("cardinality_with_null"),
+                safe_div(F.max(cnt).cast("double"), F.sum(cnt)).alias("most_frequent_ratio"),
+                F.coalesce(F.try_divide(F.min(cnt).cast("double"), F.sum(cnt)) < 0.01, F.lit(False)).alias("has_rare"),
+            )
         )
-    )
+        out = rolled if out is None else out.unionAll(rolled)
+    return out
 
 
 def approximate_cardinality(df: DataFrame, columns: Iterable[str], rsd: float = 0.02) -> DataFrame:

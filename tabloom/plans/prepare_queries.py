@@ -125,17 +125,17 @@ _YJ = """CASE WHEN x >= 0 THEN CASE WHEN lam = 0 THEN ln(1 + x) ELSE (pow(1 + x,
 _BC = "CASE WHEN lam = 0 THEN ln(x) ELSE (pow(x, lam) - 1) / lam END"
 
 
-def _power_sql(t: str, key: str, col: str, expr: str, jac: str) -> str:
+def _power_sql(t: str, key: str, col: str, expr: str, jac: str, varied: str) -> str:
     return f"""WITH x AS (SELECT {key}, {col}::DOUBLE AS x FROM {t}), g AS (SELECT round(range / 100.0, 2)::DOUBLE AS lam FROM range(-500, 501)),
     j AS (SELECT sum({jac}) AS jac, count(*) AS n FROM x),
-    v AS (SELECT lam, var_pop({expr}) AS v FROM x CROSS JOIN g GROUP BY lam),
+    v AS (SELECT lam, var_pop({varied}) AS v FROM x CROSS JOIN g GROUP BY lam),
     best AS (SELECT lam FROM v, j WHERE v > 0 AND isfinite(v) ORDER BY -n / 2.0 * ln(v) + (lam - 1) * jac DESC LIMIT 1),
     y AS (SELECT {key}, lam, {expr} AS y FROM x, best)
     SELECT {key}, lam, round((y - (SELECT avg(y) FROM y)) / (SELECT stddev_pop(y) FROM y), 5) AS z FROM y"""
 
 
-def _power_query(name: str, kind: str, t: str, key: str, col: str, expr: str, jac: str) -> None:
-    @query(name, sql=_power_sql(t, key, col, expr, jac))
+def _power_query(name: str, kind: str, t: str, key: str, col: str, expr: str, jac: str, varied: str) -> None:
+    @query(name, sql=_power_sql(t, key, col, expr, jac, varied))
     def run(spark: SparkSession, sf: str) -> DataFrame:
         df = table(spark, sf, t).select(key, F.col(col).alias("z"))
         lams = power.fit_lambdas(df, kind, {"z": F.col("z")}, digits=2)
@@ -143,8 +143,8 @@ def _power_query(name: str, kind: str, t: str, key: str, col: str, expr: str, ja
         return out.select(key, F.lit(lams["z"]).alias("lam"), F.round("z", 5).alias("z"))
 
 
-_power_query("tf_yeo_johnson", "yeo_johnson", "customer", "c_custkey", "c_acctbal", _YJ, "sign(x) * ln(1 + abs(x))")
-_power_query("tf_box_cox", "box_cox", "events", "event_id", "value", _BC, "ln(x)")
+_power_query("tf_yeo_johnson", "yeo_johnson", "customer", "c_custkey", "c_acctbal", _YJ, "sign(x) * ln(1 + abs(x))", _YJ)
+_power_query("tf_box_cox", "box_cox", "part", "p_partkey", "p_retailprice", _BC, "ln(x)", "CASE WHEN lam = 0 THEN ln(x) ELSE pow(x, lam) / lam END")
 
 
 @query(
