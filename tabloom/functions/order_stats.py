@@ -91,14 +91,17 @@ def _by_bracket(targets):
 def _finish(work: DataFrame, targets) -> dict[tuple[int, int], float]:
     """Exact values where every bracket is known to hold at most EXACT_ROWS rows."""
     grouped = _by_bracket(targets)
-    lists = work.agg(
-        *[F.array_sort(F.collect_list(_inside(i, low, high))).alias(f"s{j}") for j, (i, low, high) in enumerate(grouped)]
+    cells = F.array(
+        *[F.struct(F.lit(j).alias("j"), _inside(i, low, high).alias("x")) for j, (i, low, high) in enumerate(grouped)]
     )
-    picks = [
-        F.array(*[F.element_at(f"s{j}", t[1] - targets[t][3]) for t in ts]) for j, ts in enumerate(grouped.values())
-    ]
-    row = lists.select(*picks).first()
-    return {t: row[j][k] for j, ts in enumerate(grouped.values()) for k, t in enumerate(ts)}
+    # one group per bracket: rows outside every bracket end here, brackets are sorted in different tasks
+    lists = work.select(F.inline(cells)).where(F.col("x").isNotNull()).groupBy("j").agg(F.array_sort(F.collect_list("x")).alias("s"))
+    ranks = F.create_map(
+        *[e for j, ts in enumerate(grouped.values()) for e in (F.lit(j), F.array(*[F.lit(t[1] - targets[t][3]) for t in ts]))]
+    )
+    rows = lists.select("j", F.transform(F.element_at(ranks, F.col("j")), lambda r: F.element_at(F.col("s"), r)).alias("v")).collect()
+    picked = {r["j"]: r["v"] for r in rows}
+    return {t: picked[j][k] for j, ts in enumerate(grouped.values()) for k, t in enumerate(ts)}
 
 
 def _narrow(work: DataFrame, targets):
