@@ -37,12 +37,14 @@ def attach(
     )
     first = df.join(F.broadcast(hot), keys, "left")
     join_keys = [f"_k{i}" for i in range(len(keys))]
-    # hot rows are resolved already: their shuffle key is null plus a row hash, which matches nothing
-    spread = first.withColumn(
-        "_spread", F.when(F.col("_hot"), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
-    )
+    # hot rows are resolved already and null keys match nothing: both get null keys plus a
+    # row hash, so that neither piles up in one shuffle partition
+    settled = F.col("_hot").isNotNull()
+    for k in keys:
+        settled = settled | F.col(k).isNull()
+    spread = first.withColumn("_spread", F.when(settled, F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint")))
     for k, j in zip(keys, join_keys):
-        spread = spread.withColumn(j, F.when(F.col("_hot").isNull(), F.col(k)))
+        spread = spread.withColumn(j, F.when(~settled, F.col(k)))
     cold = slim.select(
         F.lit(0).cast("bigint").alias("_spread"), *[F.col(k).alias(j) for k, j in zip(keys, join_keys)], *values
     )

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 PIVOTS, RINGS = 64, 8
 BLOCK_ROWS = 2048
+MERGE_BLOCKS = 64
 
 
 def _pivots(train: DataFrame, vector: str) -> np.ndarray:
@@ -121,15 +122,15 @@ def neighbours(
         .select("qcell", "qb", "tb", F.col(key).alias("neighbour"), "v", *extra)
     )
     types = dict(train.dtypes)
-    schema = f"`{key}` {types[key]}, neighbour {types[key]}, distance double" + "".join(f", `{e}` {types[e]}" for e in extra)
+    schema = f"`{key}` {types[key]}, tg bigint, neighbour {types[key]}, distance double" + "".join(f", `{e}` {types[e]}" for e in extra)
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({key: [], "neighbour": [], "distance": [], **{e: [] for e in extra}})
+        empty = pd.DataFrame({key: [], "tg": [], "neighbour": [], "distance": [], **{e: [] for e in extra}})
         if not len(left) or not len(right):
             return empty
         right = right.sort_values("neighbour")
         m, parts = _matrix(right["v"]), []
-        ids = right["neighbour"].to_numpy()
+        ids, group = right["neighbour"].to_numpy(), int(left["tb"].iloc[0]) // MERGE_BLOCKS
         for qid, v in zip(left[key], left["v"]):
             d = _distances(np.asarray(v, dtype=float), m)
             if drop_self:
@@ -137,14 +138,18 @@ def neighbours(
             top = np.argsort(d, kind="stable")[:k]
             top = top[np.isfinite(d[top])]
             part = right.iloc[top][["neighbour", *extra]].copy()
-            part["distance"], part[key] = d[top], qid
+            part["distance"], part[key], part["tg"] = d[top], qid, group
             parts.append(part)
-        return pd.concat(parts)[[key, "neighbour", "distance", *extra]]
+        return pd.concat(parts)[[key, "tg", "neighbour", "distance", *extra]]
 
     partial = qs.groupBy("qcell", "qb", "tb").cogroup(ts.groupBy("qcell", "qb", "tb")).applyInPandas(block, schema)
     entry = F.struct("distance", "neighbour", *extra)
-    # at most k rows per training block and query arrive here
-    merged = partial.groupBy(key).agg(F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("top"))
+    best = F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("top")
+    if max(b[2] for b in blocks) > MERGE_BLOCKS:
+        # many training blocks: merge MERGE_BLOCKS of them at a time, then the survivors
+        tier = partial.groupBy(key, "tg").agg(best).select(key, F.inline("top"))
+        partial = tier
+    merged = partial.groupBy(key).agg(best)
     return merged.select(key, F.posexplode("top").alias("_p", "_n")).select(
         key, (F.col("_p") + 1).alias("rank"), F.col("_n.neighbour").alias("neighbour"), F.col("_n.distance").alias("distance"),
         *[F.col(f"_n.{e}").alias(e) for e in extra],

@@ -30,10 +30,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Only where that setting is absent (tests, a laptop) a temporary folder is used.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabloom-ckpt-"))
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tabloom-ckpt-"))
     return df.checkpoint(eager=True)
 
 

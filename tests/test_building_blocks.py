@@ -79,7 +79,7 @@ def test_attach_cold_keys_beyond_the_hot_set(spark, monkeypatch):
     from tabloom.functions import attach as module
 
     monkeypatch.setattr(module, "HOT_KEYS", 2)
-    df = spark.range(300).select("id", (F.col("id") % 30).alias("k"))
+    df = spark.range(300).select("id", F.when(F.col("id") % 30 != 29, F.col("id") % 30).alias("k"))  # some keys are null
     learned = spark.range(25).select(F.col("id").alias("k"), F.lit(1).alias("n"), (F.col("id") * 2).alias("v"))
     got = {r["id"]: r["v"] for r in attach(df, learned, ["k"], "n", broadcast_rows=0).collect()}
     assert got == {i: (2 * (i % 30) if i % 30 < 25 else None) for i in range(300)}

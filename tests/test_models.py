@@ -104,6 +104,7 @@ def test_neighbours_equal_brute_force_with_a_crowded_point(spark, monkeypatch):
     x[::3] = 0.5  # a third of all rows are copies
     monkeypatch.setattr(knn, "BLOCK_ROWS", 40)
     monkeypatch.setattr(knn, "PIVOTS", 8)
+    monkeypatch.setattr(knn, "MERGE_BLOCKS", 2)
     df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>")
     got = {}
     for r in knn.neighbours(df, df, "id", "v", 4, drop_self=True).collect():

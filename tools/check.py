@@ -1,6 +1,6 @@
 """Run queries next to their SQL on one scale and compare values.
 
-usage: python tools/check.py [sf_dir] [name-or-prefix ...]
+usage: python tools/check.py [sf_dir] [--sql] [name or prefix* ...]   (--sql: only queries that have SQL)
 """
 
 from __future__ import annotations
@@ -70,7 +70,8 @@ def main(argv: list[str]) -> int:
     from tabloom.session import local_session
 
     sf = argv[0] if argv else "/root/testdata/sf0.01"
-    wanted = argv[1:]
+    wanted = [a for a in argv[1:] if a != "--sql"]
+    only_sql = "--sql" in argv
     spark = local_session()
     spark.sparkContext.setLogLevel("OFF")
     con = connect(sf)
@@ -78,6 +79,8 @@ def main(argv: list[str]) -> int:
     for name, fn in QUERIES.items():
         if wanted and not any(name == w or name.startswith(w.rstrip("*")) and w.endswith("*") for w in wanted):
             continue
+        if only_sql and name not in SQL:
+            continue
         t = time.time()
         try:
             df = fn(spark, sf)
