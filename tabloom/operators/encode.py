@@ -17,17 +17,19 @@ from tabloom.functions.attach import attach
 from tabloom.functions.running import dense_codes
 from tabloom.functions.scalars import key_hash, trimmed_lower
 from tabloom.operators.profile import ident
+from tabloom.session import together
 
 LITERAL_CATEGORIES = 1000
 
 
 def categories(df: DataFrame, columns: Sequence[str], limit: int = LITERAL_CATEGORIES) -> dict[str, list | None]:
     """Sorted distinct values per column, or None where there are more than ``limit``."""
-    out: dict[str, list | None] = {}
-    for c in columns:
+
+    def one(c: str) -> list | None:
         rows = df.select(ident(c).alias("v")).where(F.col("v").isNotNull()).distinct().limit(limit + 1).collect()
-        out[c] = sorted(r["v"] for r in rows) if len(rows) <= limit else None
-    return out
+        return sorted(r["v"] for r in rows) if len(rows) <= limit else None
+
+    return dict(zip(columns, together(*[lambda c=c: one(c) for c in columns])))
 
 
 def category_name(column: str, value: object) -> str:
