@@ -40,6 +40,7 @@ from tabloom.llm.shared import scratch_dir, stash
 
 PACKAGE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
+TASK_BYTES = 4 << 20
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"
 _RECORD = pa.schema(
@@ -293,11 +294,14 @@ def _records(payloads: bool):
 
 
 def read_packages(packages: DataFrame, *, payloads: bool = True) -> DataFrame:
-    """All records of the packages at ``uri``: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (null for
-    revisits, and everywhere with ``payloads=False``)."""
+    """All records of the packages (uri, bytes): page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (null
+    for revisits, and everywhere with ``payloads=False``). The number of reading tasks follows the bytes to read, which
+    the small table of places does not show."""
     places = packages.select("uri").mapInArrow(_indexes, "uri string, offset bigint, length bigint")
-    part = F.floor(F.col("offset") / (64 << 20))
-    return places.repartition("uri", part).sortWithinPartitions("uri", "offset").mapInArrow(_records(payloads), RECORD)
+    total = packages.agg(F.sum("bytes")).first()[0] or 0
+    part = F.floor(F.col("offset") / TASK_BYTES)
+    dealt = places.repartition(int(total // TASK_BYTES) + 1, "uri", part).sortWithinPartitions("uri", "offset")
+    return dealt.mapInArrow(_records(payloads), RECORD)
 
 
 def archive(pages: DataFrame, **options) -> DataFrame:
