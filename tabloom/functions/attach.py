@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 HOT_KEYS = 1_000
 
 
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, roughly: text by its length, arrays of numbers by their size."""
+    width = F.lit(0)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.octet_length(F.coalesce(c, F.lit(""))) + 16
+        elif isinstance(f.dataType, T.ArrayType):
+            width = width + F.greatest(F.size(c), F.lit(0)) * 8 + 16
+        else:
+            width = width + 8
+    return width
+
+
 def attach(
     df: DataFrame,
     learned: DataFrame,
@@ -20,7 +36,7 @@ def attach(
 ) -> DataFrame:
     """Left join ``learned`` (unique on ``keys``) to ``df``.
 
-    A learned table counted at no more than ``BROADCAST_ROWS`` rows is broadcast.  A
+    A learned table counted at no more than ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes is broadcast.  A
     larger one is split: the ``HOT_KEYS`` heaviest keys by ``weight`` (the fit's row count) are
     broadcast, and their rows get a spread-out join key, so that the remaining shuffle
     join never sees a heavy key.
@@ -29,7 +45,8 @@ def attach(
     keys = list(keys)
     values = [c for c in learned.columns if c not in keys and c != weight]
     slim = learned.select(*keys, *values)
-    if learned.limit(limit + 1).count() <= limit:
+    rows, size = slim.limit(limit + 1).agg(F.count(F.lit(1)), F.sum(_width(slim))).first()
+    if rows <= limit and (size or 0) <= BROADCAST_BYTES:
         return df.join(F.broadcast(slim), keys, "left")
     order = [F.col(weight).desc(), *[F.col(k).asc() for k in keys]]
     hot = learned.orderBy(*order).limit(HOT_KEYS).select(

@@ -4,7 +4,7 @@
 fine for a bounded number of rows only.  Beyond :data:`EXACT_ROWS` the wanted ranks are
 narrowed first: a bounded sketch gives a bracket around each rank, one scan counts the
 rows below and inside all brackets, and this repeats until a bracket holds few rows or
-a single value.  Only bracket ends and counts (one row per scan) reach the driver, no
+a single value.  NaN counts as null, at every size.  Only bracket ends and counts (one row per scan) reach the driver, no
 shuffle of raw rows takes place, and the answer is exact.
 """
 
@@ -16,6 +16,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions.scalars import nan_to_null
+
 EXACT_ROWS = 200_000
 SKETCH_ACCURACY = 10_000
 
@@ -47,7 +49,7 @@ def order_statistics(
     names = list(exprs)
     if not names:
         return {}
-    work = df.select(*[exprs[c].cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    work = df.select(*[nan_to_null(exprs[c].cast("double")).alias(f"x{i}") for i, c in enumerate(names)])
     counts = work.agg(*[F.count(f"x{i}").alias(f"x{i}") for i in range(len(names))]).first()
     found: dict[str, dict[int, float]] = {c: {} for c in names}
     # open targets: (column index, rank) -> (low, high, rows in bracket, rows below bracket)
@@ -155,8 +157,8 @@ def _recount(work: DataFrame, t, bracket):
 
 
 def raise_if_stuck(new, old) -> None:
-    if new[:2] == old[:2]:
-        raise ValueError(f"quantile bracket {new[:2]} cannot be narrowed; does the column hold NaN?")
+    if new[:2] == old[:2] or new[2] > old[2]:
+        raise ValueError(f"quantile bracket {new[:2]} cannot be narrowed")
 
 
 def exact_quantiles(
@@ -178,7 +180,7 @@ def exact_quantiles(
     names = list(exprs)
     if rows <= limit:
         arr = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(exprs[c].cast("double"), arr).alias(f"q{i}") for i, c in enumerate(names)]).first()
+        row = df.agg(*[F.percentile(nan_to_null(exprs[c].cast("double")), arr).alias(f"q{i}") for i, c in enumerate(names)]).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probs) for i, c in enumerate(names)}
     stats = order_statistics(df, exprs, lambda _c, n: _rank_points(n, probs) if n else [], exact_rows)
     return {c: [_interpolate(n, p, at) if n else None for p in probs] for c, (n, at) in stats.items()}

@@ -90,3 +90,38 @@ def test_scalars(spark):
         token_count(F.col("s")), token_count(F.col("e")), at_least(F.col("p"), 0.5)
     ).first()
     assert tuple(row) == (2, 0, 1)
+
+
+def test_quantiles_skip_nan_at_every_size(spark):
+    from pyspark.sql import functions as F
+
+    from tabloom.functions.order_stats import exact_quantiles
+    from tabloom.operators.profile import column_facts
+
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, float("nan")).otherwise(F.col("id").cast("double")).alias("x"))
+    small = exact_quantiles(df, {"x": F.col("x")}, [0.25, 0.5, 1.0])
+    assert small == exact_quantiles(df, {"x": F.col("x")}, [0.25, 0.5, 1.0], exact_rows=100)
+    assert small["x"][2] == 2999.0
+    assert column_facts(df)[0]["n_null"] == 1000
+
+
+def test_lambda_has_no_bound(spark):
+    import numpy as np
+
+    from pyspark.sql import functions as F
+    from tabloom.operators.power import fit_lambdas
+
+    x = (1 + 0.02 * np.random.default_rng(1).normal(size=4000) * 12) ** (1 / 12)
+    x = x[np.isfinite(x)]
+    lam = fit_lambdas(spark.createDataFrame([(float(v),) for v in x], "x double"), "box_cox", {"x": F.col("x")})["x"]
+    assert lam > 9
+
+
+def test_wide_tables_are_not_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from tabloom.functions import attach as at
+
+    big = spark.range(40).select("id", F.repeat(F.lit("x"), 1 << 20).alias("v"), F.lit(1).alias("n"))
+    out = at.attach(spark.range(60).repartition(3), big, ["id"], "n")
+    assert out.where("v is not null").count() == 40
