@@ -15,52 +15,93 @@ from tabloom.session import together
 
 FOLDS, TRIALS, SEED = 3, 30, 42
 
+
+@dataclass(frozen=True)
+class Domain:
+    """Values a parameter can take: the grid walks through them, a trial draws among them or between their ends."""
+
+    values: tuple
+
+    def draw(self, rng: random.Random):
+        return rng.choice(self.values)
+
+
+class WholeRange(Domain):
+    def draw(self, rng: random.Random) -> int:
+        return rng.randint(self.values[0], self.values[-1])
+
+
+class RealRange(Domain):
+    def draw(self, rng: random.Random) -> float:
+        return rng.uniform(self.values[0], self.values[-1])
+
+
+def choice(*values) -> Domain:
+    return Domain(values)
+
+
+def whole(*values: int) -> Domain:
+    return WholeRange(values)
+
+
+def real(*values: float) -> Domain:
+    return RealRange(values)
+
+
 # Search spaces per problem and model.
-SPACES: dict[tuple[str, str], dict[str, list]] = {
-    ("classification", "logistic_regression"): {"C": [0.01, 0.1, 1, 10], "penalty": ["l2"], "solver": ["lbfgs", "saga"]},
-    ("classification", "ridge_classifier"): {"alpha": [0.1, 1.0, 10.0]},
-    ("classification", "sgd_classifier"): {"alpha": [1e-4, 1e-3, 1e-2], "loss": ["hinge", "log_loss"], "penalty": ["l2", "l1"]},
+SPACES: dict[tuple[str, str], dict[str, Domain]] = {
+    ("classification", "logistic_regression"): {"C": choice(0.01, 0.1, 1, 10), "penalty": choice("l2"), "solver": choice("lbfgs", "saga")},
+    ("classification", "ridge_classifier"): {"alpha": real(0.1, 1.0, 10.0)},
+    ("classification", "sgd_classifier"): {
+        "alpha": real(1e-4, 1e-3, 1e-2),
+        "loss": choice("hinge", "log_loss"),
+        "penalty": choice("l2", "l1"),
+    },
     ("classification", "random_forest"): {
-        "n_estimators": [100, 200, 300],
-        "max_depth": [10, 15, 20, None],
-        "min_samples_split": [2, 5, 10],
-        "min_samples_leaf": [1, 2, 4],
-        "max_features": ["sqrt", "log2"],
+        "n_estimators": whole(100, 200, 300),
+        "max_depth": choice(10, 15, 20, None),
+        "min_samples_split": whole(2, 5, 10),
+        "min_samples_leaf": whole(1, 2, 4),
+        "max_features": choice("sqrt", "log2"),
     },
     ("classification", "gradient_boosting"): {
-        "n_estimators": [100, 200],
-        "learning_rate": [0.01, 0.1, 0.2],
-        "max_depth": [3, 5, 7],
-        "subsample": [0.8, 1.0],
+        "n_estimators": whole(100, 200),
+        "learning_rate": real(0.01, 0.1, 0.2),
+        "max_depth": whole(3, 5, 7),
+        "subsample": real(0.8, 1.0),
     },
     ("classification", "extra_trees"): {
-        "n_estimators": [100, 150, 300],
-        "max_depth": [10, 15, 20, None],
-        "min_samples_split": [2, 5, 10],
-        "min_samples_leaf": [1, 2, 4],
+        "n_estimators": whole(100, 150, 300),
+        "max_depth": choice(10, 15, 20, None),
+        "min_samples_split": whole(2, 5, 10),
+        "min_samples_leaf": whole(1, 2, 4),
     },
     ("classification", "decision_tree"): {
-        "max_depth": [5, 10, 20, None],
-        "min_samples_split": [2, 10, 20],
-        "min_samples_leaf": [1, 2, 5],
+        "max_depth": choice(5, 10, 20, None),
+        "min_samples_split": whole(2, 10, 20),
+        "min_samples_leaf": whole(1, 2, 5),
     },
     ("classification", "kneighbors"): {
-        "n_neighbors": [3, 5, 7, 11],
-        "weights": ["uniform", "distance"],
-        "metric": ["minkowski", "euclidean", "manhattan"],
+        "n_neighbors": whole(3, 5, 7, 11),
+        "weights": choice("uniform", "distance"),
+        "metric": choice("minkowski", "euclidean", "manhattan"),
+    },
+    ("classification", "gaussian_nb"): {"var_smoothing": real(1e-9, 1e-8, 1e-7)},
+    ("regression", "random_forest"): {
+        "n_estimators": whole(100, 200, 300),
+        "max_depth": choice(10, 20, None),
+        "min_samples_split": whole(2, 5, 10),
     },
-    ("classification", "gaussian_nb"): {"var_smoothing": [1e-9, 1e-8, 1e-7]},
-    ("regression", "random_forest"): {"n_estimators": [100, 200, 300], "max_depth": [10, 20, None], "min_samples_split": [2, 5, 10]},
-    ("regression", "gradient_boosting"): {"n_estimators": [100, 200], "learning_rate": [0.01, 0.1], "max_depth": [3, 5]},
-    ("regression", "decision_tree"): {"max_depth": [5, 10, None], "min_samples_split": [2, 10]},
-    ("regression", "kneighbors"): {"n_neighbors": [3, 5, 7], "weights": ["uniform", "distance"]},
+    ("regression", "gradient_boosting"): {"n_estimators": whole(100, 200), "learning_rate": real(0.01, 0.1), "max_depth": whole(3, 5)},
+    ("regression", "decision_tree"): {"max_depth": choice(5, 10, None), "min_samples_split": whole(2, 10)},
+    ("regression", "kneighbors"): {"n_neighbors": whole(3, 5, 7), "weights": choice("uniform", "distance")},
 }
 GRID_MODELS = ("logistic_regression", "ridge_classifier", "sgd_classifier")
 # parameters of the spaces that no library estimator distinguishes: equal candidates are fitted once
 INERT = ("solver", "min_samples_split", "var_smoothing")
 
 
-def space(model: str, problem: str) -> dict[str, list]:
+def space(model: str, problem: str) -> dict[str, Domain]:
     try:
         return SPACES[(problem, model)]
     except KeyError:
@@ -71,24 +112,14 @@ def strategy(space_name: str) -> str:
     return "grid" if space_name in GRID_MODELS else "random"
 
 
-def grid(space_: Mapping[str, Sequence]) -> list[dict]:
-    return [dict(zip(space_, v)) for v in itertools.product(*space_.values())]
+def grid(space_: Mapping[str, Domain]) -> list[dict]:
+    return [dict(zip(space_, v)) for v in itertools.product(*[d.values for d in space_.values()])]
 
 
-def draws(space_: Mapping[str, Sequence], trials: int = TRIALS, seed: int = SEED) -> list[dict]:
-    """Seeded trials: ranges for all-int and all-float lists, choices otherwise."""
+def draws(space_: Mapping[str, Domain], trials: int = TRIALS, seed: int = SEED) -> list[dict]:
+    """Seeded trials: each parameter draws from its declared domain."""
     rng = random.Random(seed)
-
-    def one(values: Sequence):
-        if any(v is None for v in values):
-            return rng.choice(list(values))
-        if all(isinstance(v, int) for v in values):
-            return rng.randint(min(values), max(values))
-        if all(isinstance(v, float) for v in values):
-            return rng.uniform(min(values), max(values))
-        return rng.choice(list(values))
-
-    return [{k: one(v) for k, v in space_.items()} for _ in range(trials)]
+    return [{name: domain.draw(rng) for name, domain in space_.items()} for _ in range(trials)]
 
 
 @dataclass
@@ -110,10 +141,10 @@ def tune(
     Candidates run concurrently; each scores its folds in one grouped aggregation.
     """
     metric = metrics.PRIMARY[problem]
+    fit_key = lambda c: tuple(sorted((k, str(v)) for k, v in c.items() if k not in INERT))
     distinct: dict[tuple, dict] = {}
     for c in candidates:
-        key = tuple(sorted((k, str(v)) for k, v in c.items() if k not in INERT))
-        distinct.setdefault(key, dict(c))
+        distinct.setdefault(fit_key(c), dict(c))
 
     def score(params: Mapping) -> float:
         fit = lambda train, _i: models.fit(spec, train, names, params)
@@ -124,7 +155,8 @@ def tune(
     scores = together(*[lambda p=p: score(p) for p in unique])
     lower = metric in metrics.LOWER_IS_BETTER
     best = min(range(len(unique)), key=lambda i: (scores[i] if lower else -scores[i], i))
-    return Tuned(spec, unique[best], scores[best], list(zip(unique, scores)))
+    by_key = dict(zip(distinct, scores))  # every candidate is a trial, with the score of the fit it shares
+    return Tuned(spec, unique[best], scores[best], [(dict(c), by_key[fit_key(c)]) for c in candidates])
 
 
 def tune_by_name(df: DataFrame, model: str, names: Sequence[str], problem: str, folds: int = FOLDS, trials: int = TRIALS) -> Tuned:
