@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +42,7 @@ _TRANSFORM = {"yeo_johnson": yeo_johnson, "box_cox": box_cox}
 def fit_lambdas(df: DataFrame, kind: str, exprs: Mapping[str, Column], digits: int = 3) -> dict[str, float]:
     """Maximum-likelihood lambda per expression, to ``digits`` decimals.
 
-    A decimal grid search: each pass scores about twenty candidates of every column in
+    A decimal grid search without outer bounds (a best candidate at an end widens the whole-number grid): each pass scores about twenty candidates of every column in
     one aggregation and zooms in by ten, so a fit costs ``digits + 1`` scans and no shuffle
     of rows.
     """
@@ -58,19 +59,32 @@ def fit_lambdas(df: DataFrame, kind: str, exprs: Mapping[str, Column], digits: i
     log = "signum({0}) * log1p(abs({0}))" if kind == "yeo_johnson" else "ln(case when {0} > 0 then {0} end)"
     base = work.agg(*[F.expr(e) for i in range(len(names)) for e in (f"count(x{i})", f"sum({log.format(f'x{i}')})")]).first()
     formula = _YEO_JOHNSON if kind == "yeo_johnson" else _BOX_COX
-    for digit in range(digits + 1):
+    grids = [(0, names)]
+    while grids:
+        digit, own = grids.pop(0)
         reach, step = (LAMBDA_RANGE if digit == 0 else 10), 10.0**-digit
-        grid = {c: [round(best[c] + k * step, digit) for k in range(-reach, reach + 1)] for c in names}
+        grid = {c: [round(best[c] + k * step, digit) for k in range(-reach, reach + 1)] for c in own}
         # every value meets its own column's candidates; partial aggregation keeps one row per candidate
         cells = [
             f"transform(array({', '.join(f'{lam!r}d' for lam in grid[c])}), l -> struct({i} as i, l as lam, x{i} as x))"
             for i, c in enumerate(names)
+            if c in grid
         ]
         long = work.select(F.expr(f"inline(concat({', '.join(cells)}))"))
         scored = long.groupBy("i", "lam").agg(F.var_pop(F.expr(formula)).alias("v")).collect()
+        at_end = []
         for i, c in enumerate(names):
+            if c not in grid:
+                continue
             var = {r["lam"]: r["v"] for r in scored if r["i"] == i}
-            best[c] = max(grid[c], key=lambda lam: (_loglik(base[2 * i], base[2 * i + 1], var.get(lam), lam), -lam))
+            like = {lam: _loglik(base[2 * i], base[2 * i + 1], var.get(lam), lam) for lam in grid[c]}
+            best[c] = max(grid[c], key=lambda lam: (like[lam], -lam))
+            if digit == 0 and best[c] in (grid[c][0], grid[c][-1]) and like[best[c]] > -math.inf:
+                at_end.append(c)
+        if at_end:  # go on around the end that won
+            grids.append((0, at_end))
+        elif digit < digits:
+            grids.append((digit + 1, names))
     return best
 
 
@@ -84,8 +98,6 @@ _BOX_COX = "case when lam = 0 then ln(x) else exp(ln(x) * lam) / lam end"
 
 
 def _loglik(n: float, jac: float | None, var: float | None, lam: float) -> float:
-    import math
-
     if not n or jac is None or not var or not math.isfinite(var):
         return -math.inf
     return -n / 2 * math.log(var) + (lam - 1) * jac
