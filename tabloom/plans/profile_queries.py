@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from tabloom.plans.sqltext import (
     typed,
     with_frame,
 )
+from tabloom.session import shared_folder
 from tabloom.sources import tables as src
 
 ORDER_KINDS = {
@@ -55,14 +56,8 @@ def sig_col(x: Column) -> Column:
 
 def _csv_copy(df: DataFrame) -> str:
     """Write a table as CSV into a fresh folder (the session's scratch root where one is set)."""
-    base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if base:
-        import uuid
-
-        path = f"{base}/csv-{uuid.uuid4().hex}"
-    else:
-        path = tempfile.mkdtemp(prefix="tabloom-csv-") + "/t"
-    df.write.csv(path, header=True)
+    path = f"{shared_folder(df.sparkSession)}/csv-{uuid.uuid4().hex}"
+    df.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return path
 
 
@@ -75,6 +70,13 @@ def src_csv(spark: SparkSession, sf: str) -> DataFrame:
     return src.read_csv(spark, _csv_copy(o))
 
 
+@query("src_csv_text", sql="SELECT doc_id, nullif(text, '') AS text, lang FROM documents")
+def src_csv_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with line breaks and quotes survive the way through CSV."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    return src.read_csv(spark, _csv_copy(docs), "doc_id bigint, text string, lang string")
+
+
 @query("src_validate", sql="SELECT count(*) AS n, 'l_returnflag' AS target FROM lineitem")
 def src_validate(spark: SparkSession, sf: str) -> DataFrame:
     ok = src.validate(table(spark, sf, "lineitem"), "l_returnflag")

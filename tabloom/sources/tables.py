@@ -27,13 +27,18 @@ class FileIsEmptyException(Exception):
     """The source holds no rows."""
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multiline: bool = True
+) -> DataFrame:
     """CSV with header; missing tokens become null; a missing path is FileNotFoundError.
 
+    Quoted line breaks belong to their cell. That makes a file the unit of reading; ``multiline=False`` lets large files
+    without such breaks be split.
+
     Pass ``schema`` on large inputs: inference costs one extra scan of the text.
     """
     try:
-        raw = spark.read.csv(path, header=True, multiLine=False, escape='"', nullValue="")
+        raw = spark.read.csv(path, header=True, multiLine=multiline, escape='"', nullValue="")
         text = raw.select(
             *[F.when(~F.trim(F.col(f"`{c}`")).isin(*NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
         )

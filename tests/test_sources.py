@@ -61,3 +61,10 @@ def test_split_does_not_depend_on_partitioning(spark):
 def test_nan_is_missing(spark):
     df = src.normalise_nan(spark.createDataFrame([(float("nan"),), (1.0,)], "x double"))
     assert df.where("x is null").count() == 1
+
+
+def test_quoted_line_breaks_stay_in_their_cell(spark, tmp_path):
+    from tabloom.sources.tables import read_csv
+
+    (tmp_path / "a.csv").write_text('n,t\n1,"x\ny"\n2,"he said ""z"""\n')
+    assert [tuple(r) for r in read_csv(spark, str(tmp_path / "a.csv")).orderBy("n").collect()] == [(1, "x\ny"), (2, 'he said "z"')]
