@@ -64,6 +64,8 @@ def cross_validate(
     df: DataFrame, fit: Fit, folds: int, problem: str = "classification", with_train: bool = True, auc: bool = True
 ) -> dict[str, float]:
     """Mean train and test metrics over the folds of a frame with ``label`` and ``fold``."""
+    if problem == "classification":
+        metrics.check_binary(df, "label")
     models = fold_models(df, fit, folds)
     predictions = fold_predictions(df, models, with_train=with_train)
     return average_metrics(fold_metrics(predictions, problem, auc))

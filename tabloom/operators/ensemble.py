@@ -69,6 +69,6 @@ def fit_stacking(
         meta = LogisticRegression(featuresCol="_meta", labelCol="label", regParam=1.0 / max(shape.n, 1), standardization=False)
     else:
         reg, mix = models.linear_penalty(1.0, 0.0, shape.n, shape.y_std, ridge_sum=True)
-        meta = LinearRegression(featuresCol="_meta", labelCol="label", regParam=reg, elasticNetParam=mix, standardization=False, solver="normal")
+        meta = LinearRegression(featuresCol="_meta", labelCol="label", regParam=reg, elasticNetParam=mix, standardization=False, solver="auto")
     fitted = meta.fit(packed.transform(oof))
     return PipelineModel([*_shared(_bases(train, specs, names)), *steps, packed, fitted])

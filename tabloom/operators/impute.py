@@ -92,7 +92,7 @@ def impute_iterative(
         for c in columns:
             others = [f for f in features if f != c]
             packed = VectorAssembler(inputCols=others, outputCol="_x").transform(state)
-            model = LinearRegression(featuresCol="_x", labelCol=c, solver="normal").fit(packed.where(~F.col(f"{c}__gap")))
+            model = LinearRegression(featuresCol="_x", labelCol=c, solver="auto").fit(packed.where(~F.col(f"{c}__gap")))
             guess = F.lit(float(model.intercept))
             for f, w in zip(others, model.coefficients):
                 guess = guess + ident(f).cast("double") * F.lit(float(w))

@@ -97,7 +97,7 @@ def _linear(kind: str) -> Builder:
         alpha = p.get("alpha", 1.0)
         ratio = {"ridge": 0.0, "lasso": 1.0, "elasticnet": p.get("l1_ratio", 0.5)}[kind]
         reg, mix = linear_penalty(alpha, ratio, s.n, s.y_std, ridge_sum=kind == "ridge")
-        est = LinearRegression(regParam=reg, elasticNetParam=mix, standardization=False, solver="normal")
+        est = LinearRegression(regParam=reg, elasticNetParam=mix, standardization=False, solver="auto")
         return _out(est, s, proba=False)
 
     return build
@@ -172,7 +172,7 @@ def _ridge_classifier(s: Shape, p: Mapping) -> Estimator:
     reg, mix = linear_penalty(p.get("alpha", 1.0), 0.0, s.n, s.y_std, ridge_sum=True)
     score = LinearRegression(
         featuresCol=FEATURES, labelCol=LABEL, predictionCol=f"_score{s.suffix}", regParam=reg, elasticNetParam=mix,
-        standardization=False, solver="normal",
+        standardization=False, solver="auto",
     )
     return Pipeline(stages=[score, Binarizer(inputCol=f"_score{s.suffix}", outputCol=f"prediction{s.suffix}", threshold=0.5)])
 

@@ -18,7 +18,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.functions.scalars import key_hash, trimmed_lower
+from tabloom.functions.scalars import key_hash, nan_to_null, trimmed_lower
 from tabloom.operators import encode, impute, power, rules
 from tabloom.operators.profile import column_facts, facts_frame, ident
 from tabloom.operators.scale import learn_scaler, scaled
@@ -184,7 +184,7 @@ def _learn_powers(df: DataFrame, steps: list[dict]) -> None:
 
 
 def _filled(s: dict) -> Column:
-    c = ident(s["column"]).cast("double")
+    c = nan_to_null(ident(s["column"]).cast("double"))
     return c if s["fill"] is None else F.coalesce(c, F.lit(float(s["fill"])))
 
 

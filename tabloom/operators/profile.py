@@ -30,6 +30,7 @@ from tabloom.functions.scalars import (
 )
 from tabloom.operators import rules
 from tabloom.session import together
+from tabloom.sources.tables import normalise_nan
 
 LONG_VALUE = 64  # longer strings are counted by digest, so a shuffle never carries whole texts
 
@@ -424,6 +425,7 @@ def column_facts(
     ``exempt`` names columns that are never dropped as redundant, such as text columns
     the caller wants profiled even though nearly every value is unique.
     """
+    df = normalise_nan(df)
     ks = kinds(df, columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     facts, rollup = together(lambda: _scan(df, ks), lambda: frequency_rollup(df, ks).collect())

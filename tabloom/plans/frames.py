@@ -75,15 +75,16 @@ def docs_frame(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
 
 
-def doc_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled documents with twelve standardised text statistics and a label that depends on them."""
+def doc_features(spark: SparkSession, sf: str, labelled: bool = True) -> DataFrame:
+    """Documents with twelve standardised text statistics and a label that depends on them; with ``labelled=False`` also those
+    without a label."""
     from tabloom.operators.scale import scale
 
-    return scale(keep(raw_doc_features(spark, sf)), "standard", DOC_FEATURES)
+    return scale(keep(raw_doc_features(spark, sf, labelled)), "standard", DOC_FEATURES)
 
 
-def raw_doc_features(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+def raw_doc_features(spark: SparkSession, sf: str, labelled: bool = True) -> DataFrame:
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "inner" if labelled else "left")
     t, n = F.col("text"), F.length("text").cast("double")
     tokens = token_array(t)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from tabloom.operators.transformers import majority, mean_of
 from tabloom.plans import search
 from tabloom.plans.frames import DOC_FEATURES, DOCS_SQL, LINES_SQL, doc_features, docs_frame, lines_frame, table
 from tabloom.plans.registry import query
-from tabloom.session import keep
+from tabloom.session import keep, shared_folder
 from tabloom.sources import store
 from tabloom.sources.tables import with_folds
 
@@ -30,8 +29,8 @@ def labelled(spark: SparkSession, sf: str, folds: int = 5) -> DataFrame:
 
 
 def numbers(spark: SparkSession, sf: str) -> DataFrame:
-    """Regression frame: document length from its other text statistics."""
-    return doc_features(spark, sf).drop("label").withColumnRenamed("log_chars", "label")
+    """Regression frame: length of every document, labelled or not, from its other text statistics."""
+    return doc_features(spark, sf, labelled=False).drop("label").withColumnRenamed("log_chars", "label")
 
 
 REG_NAMES = [n for n in NAMES if n != "log_chars"]
@@ -318,8 +317,7 @@ def ens_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _store_base(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base.rstrip('/')}/models" if base else tempfile.mkdtemp(prefix="tabloom-models-")
+    return f"{shared_folder(spark)}/models"
 
 
 def _stored(spark: SparkSession, df: DataFrame) -> str:
@@ -344,6 +342,8 @@ def source_model(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("score_batch")
 def score_batch(spark: SparkSession, sf: str) -> DataFrame:
-    df = keep(doc_features(spark, sf))
-    scored = store.score(store.load_model(_stored(spark, df)), df)
+    """Documents without a label, scored by the stored model that learned from the labelled ones."""
+    df = keep(doc_features(spark, sf, labelled=False))
+    known = F.col("label").isNotNull()
+    scored = store.score(store.load_model(_stored(spark, df.where(known))), df.where(~known))
     return scored.select("doc_id", "prediction", F.round(vector_to_array("probability")[1], 6).alias("probability"))

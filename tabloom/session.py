@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,15 +25,24 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``; unset, a local master gets a temporary one and a cluster an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tabloom-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) a temporary folder is used.
+    Only where that setting is absent on a local master (tests, a laptop) a temporary folder is used.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tabloom-ckpt-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -42,7 +51,9 @@ def together(*jobs: Callable[[], object]) -> list:
     if len(jobs) < 2:
         return [j() for j in jobs]
     with ThreadPool(min(8, len(jobs))) as pool:
-        return pool.map(lambda j: j(), jobs)
+        spark = SparkSession.getActiveSession()
+        own = inheritable_thread_target(spark) if spark else lambda j: j  # job groups and other settings of the caller
+        return pool.map(lambda j: j(), [own(j) for j in jobs])
 
 
 def keep(df: DataFrame) -> DataFrame:
