@@ -192,8 +192,8 @@ def central_directory(src: Ranges) -> list[dict]:
     tail_at = max(0, src.size - 65_557)
     tail = src.read(tail_at, src.size - tail_at)
     end = tail.rfind(b"PK\x05\x06")
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] > len(tail):
-        end = tail.rfind(b"PK\x05\x06", 0, end)
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
+        end = tail.rfind(b"PK\x05\x06", 0, end + 3)  # a comment may hold the signature
     if end < 0:
         raise ValueError("no end of central directory")
     count, size, start = struct.unpack_from("<HII", tail, end + 10)
