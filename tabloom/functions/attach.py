@@ -59,7 +59,7 @@ def attach(
     settled = F.col("_hot").isNotNull()
     for k in keys:
         settled = settled | F.col(k).isNull()
-    spread = first.withColumn("_spread", F.when(settled, F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint")))
+    spread = first.withColumn("_spread", F.when(settled, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).otherwise(F.lit(0).cast("bigint")))
     for k, j in zip(keys, join_keys):
         spread = spread.withColumn(j, F.when(~settled, F.col(k)))
     cold = slim.select(
@@ -67,6 +67,6 @@ def attach(
     )
     joined = spread.join(cold, ["_spread", *join_keys], "left")
     return joined.select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(f"`{c}`") for c in df.columns],
         *[F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(v)).alias(v) for v in values],
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 RANGE_ROWS = 250_000
@@ -35,18 +35,23 @@ def range_cuts(df: DataFrame, key: str, rows: int, range_rows: int | None = None
     return sorted(set(values[step::step]))[:wanted]
 
 
+def _literal(cut: object, dtype: str) -> Column:
+    value = F.struct(*[F.lit(v) for v in cut]) if isinstance(cut, Row) else F.lit(cut)
+    return value.cast(dtype)
+
+
 def range_id(key: str, cuts: Sequence, dtype: str) -> Column:
-    """Index of the range a key falls in, as a balanced tree of comparisons."""
+    """Index of the range a key falls in, as a balanced tree of comparisons; a key may be a struct."""
 
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(F.col(key) < F.lit(cuts[mid]).cast(dtype), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(F.col(key) < _literal(cuts[mid], dtype), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
     if len(cuts) <= 256:
         return tree(0, len(cuts))
-    arr = F.array(*[F.lit(c).cast(dtype) for c in cuts])
+    arr = F.array(*[_literal(c, dtype) for c in cuts])
     return F.size(F.filter(arr, lambda c: c <= F.col(key)))
 
 

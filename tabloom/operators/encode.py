@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,14 +50,27 @@ def code_expr(c: Column, values: Sequence) -> Column:
 
 
 def onehot(df: DataFrame, column: str, values: Sequence | None = None) -> DataFrame:
-    """Dense 0/1 columns for a counted category set, a sparse vector ``<column>_onehot`` beyond it."""
+    """Dense 0/1 columns while the categories fit a projection of literals, else :func:`onehot_vector`."""
     values = categories(df, [column])[column] if values is None else values
     if values is not None:
         return df.withColumns(onehot_exprs(ident(column), column, values))
-    index = StringIndexer(inputCol=column, outputCol="_idx", stringOrderType="alphabetAsc", handleInvalid="keep")
-    indexed = index.fit(df).transform(df)
-    encoder = OneHotEncoder(inputCol="_idx", outputCol=f"{column}_onehot", dropLast=True)
-    return encoder.fit(indexed).transform(indexed).drop("_idx")
+    return onehot_vector(df, column)
+
+
+def onehot_vector(df: DataFrame, column: str, to: str | None = None) -> DataFrame:
+    """Sparse 0/1 vector over the sorted categories, any number of them; null and unseen are all zeros."""
+    codes = dense_codes(df.select(ident(column).alias(column)), column).withColumnRenamed("code", "_code")
+    width = codes.count()
+    return hot_vector(attach(df, codes, [column], "n"), "_code", width, to or f"{column}_onehot").drop("_code")
+
+
+def hot_vector(df: DataFrame, code: str, width: int, to: str) -> DataFrame:
+    """Sparse vector of ``width`` entries with a 1 at ``code``; all zeros where the code is null."""
+    spark = df.sparkSession
+    # the encoder learns its size from the largest code; that one, one beyond the categories, is the dropped last
+    encoder = OneHotEncoder(inputCol="_hot_code", outputCol=to).fit(spark.createDataFrame([(float(width),)], "_hot_code double"))
+    coded = df.withColumn("_hot_code", F.coalesce(F.col(code).cast("double"), F.lit(float(width))))
+    return encoder.transform(coded).drop("_hot_code")
 
 
 def ordinal(df: DataFrame, column: str, to: str | None = None) -> DataFrame:

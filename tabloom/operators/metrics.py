@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions import running
 from tabloom.functions.running import prefix_sums
 from tabloom.functions.scalars import safe_div
 
@@ -124,11 +125,11 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     return table.agg(F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
 
 
-def roc_auc_by(df: DataFrame, label: str, score: str, by: Sequence[str], bins: int = 0) -> DataFrame:
+def roc_auc_by(df: DataFrame, label: str, score: str, by: Sequence[str], range_rows: int | None = None) -> DataFrame:
     """ROC AUC per group (fold, model): average ranks inside (group, score-range) windows.
 
-    Counts per (group, score) are summed over a bounded number of score ranges whose cut
-    points come from a sketch, so a large group is spread over many windows.
+    Counts per (group, score) are summed over score ranges, one per ``range_rows`` rows (4096 at most), whose cut
+    points come from a sketch, so a window holds about that many rows whatever the size of its group.
     """
     from pyspark.sql import Window
 
@@ -136,12 +137,12 @@ def roc_auc_by(df: DataFrame, label: str, score: str, by: Sequence[str], bins: i
     per = df.where(s.isNotNull()).groupBy(*by, s.alias("_s")).agg(
         F.count_if(F.col(label) == 1).cast("double").alias("pos"), F.count_if(F.col(label) == 0).cast("double").alias("neg")
     )
-    cuts = df.agg(F.percentile_approx(s, F.array(*[F.lit(i / 64) for i in range(1, 64)]), 1000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    rng = F.lit(0)
-    for c in cuts:
-        rng = rng + (F.col("_s") >= F.lit(c)).cast("int")
-    per = per.withColumn("_r", rng)
+    ranges = min(running.MAX_RANGES, df.count() // (range_rows or running.RANGE_ROWS) + 1)
+    cuts: list[float] = []
+    if ranges > 1:
+        points = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+        cuts = sorted(set(df.agg(F.percentile_approx(s, points, 4 * ranges)).first()[0] or []))
+    per = per.withColumn("_r", running.range_id("_s", cuts, "double"))
     sums = per.groupBy(*by, "_r").agg(F.sum("pos").alias("_p"))
     above = Window.partitionBy(*by).orderBy(F.col("_r").desc()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*by, "_r", F.coalesce(F.sum("_p").over(above), F.lit(0.0)).alias("_off"))

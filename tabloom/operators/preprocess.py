@@ -1,29 +1,35 @@
 """The whole preparation of a table as one Estimator.
 
-``fit`` profiles the table and learns every fill, transform, scale and code in a fixed
-number of aggregations; the fitted model is a list of literals, so ``transform`` is one
-projection that runs the same on batch and streaming frames.
+``fit`` profiles the table and learns every fill, transform, scale and code.  The fitted model is a list of
+literals, so ``transform`` is one projection that runs the same on batch and streaming frames.  Category sets beyond
+``encode.LITERAL_CATEGORIES`` are learned tables in the shared folder instead, attached by a skew-safe join and stored
+with the model; codes, frequencies and one-hot features are the same either way.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.functions.scalars import key_hash, nan_to_null, trimmed_lower
+from tabloom.functions.attach import attach
+from tabloom.functions.running import dense_codes
+from tabloom.functions.scalars import nan_to_null, trimmed_lower
 from tabloom.operators import encode, impute, power, rules
-from tabloom.operators.profile import column_facts, facts_frame, ident
+from tabloom.operators.profile import column_facts, facts_frame, ident, ordinal_codes
 from tabloom.operators.scale import learn_scaler, scaled
+from tabloom.session import shared_folder
 
-HASH_BUCKETS = 32
+#: most one-hot features of one column as columns of their own; the vector in ``outputCol`` has no such bound
+WIDE_COLUMNS = 20_000
 
 
 class _PrepParams(Params):
@@ -60,26 +66,85 @@ class TabularPreprocessor(Estimator, _PrepParams, DefaultParamsReadable, Default
         )
 
 
+class _TablesWriter(DefaultParamsWriter):
+    """Params, and the learned tables beside them."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        for i, s in enumerate(self.instance.steps):
+            if "table" in s:
+                self.sparkSession.read.parquet(s["table"]).write.parquet(f"{path}/tables/{i}")
+
+
+class _TablesReader(DefaultParamsReader):
+    def load(self, path: str) -> TabularPreprocessorModel:
+        model = super().load(path)
+        steps = [{**s, "table": f"{path}/tables/{i}"} if "table" in s else s for i, s in enumerate(model.steps)]
+        return model._set(plan=json.dumps(steps))
+
+
 class TabularPreprocessorModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
+    """The learned steps.
+
+    Without ``outputCol`` every one-hot feature is a column (an error beyond ``WIDE_COLUMNS``).  With it, the features
+    of literal steps are columns too and all features, sparse for learned tables, are in the vector.
+    """
+
     def __init__(self):
         super().__init__()
         self._setDefault(keepCols=[], outputCol="", plan="[]")
 
+    def write(self) -> _TablesWriter:
+        return _TablesWriter(self)
+
+    @classmethod
+    def read(cls) -> _TablesReader:
+        return _TablesReader(cls)
+
     @property
     def steps(self) -> list[dict]:
         return json.loads(self.getOrDefault("plan"))
 
     @property
     def feature_names(self) -> list[str]:
+        """Names of all features in order; as long as the feature vector, so read only on demand."""
         return [name for s in self.steps for name in step_names(s)]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        exprs = [e.alias(n) for s in self.steps for n, e in step_exprs(s).items()]
-        kept = [ident(c) for c in self.getOrDefault("keepCols") if c in df.columns]
-        out = df.select(*kept, *exprs)
-        if self.getOrDefault("outputCol"):
-            assembler = VectorAssembler(inputCols=self.feature_names, outputCol=self.getOrDefault("outputCol"))
+        steps, vector = self.steps, self.getOrDefault("outputCol")
+        kept = [c for c in self.getOrDefault("keepCols") if c in df.columns]
+        tables = {f"_t{i}": s for i, s in enumerate(steps) if "table" in s}
+        plain = {n: e for s in steps if "table" not in s for n, e in step_exprs(s).items()}
+        out = df.select(
+            *[ident(c) for c in kept], *[e.alias(n) for n, e in plain.items()], *[_table_key(s).alias(f"{t}_key") for t, s in tables.items()]
+        )
+        for t, s in tables.items():
+            learned = df.sparkSession.read.parquet(s["table"])
+            learned = learned.select(F.col("key").alias(f"{t}_key"), F.col("value").alias(f"{t}_value"), F.col("n").alias(f"{t}_n"))
+            out = attach(out, learned, [f"{t}_key"], f"{t}_n")
+            if s["op"] == "onehot_table" and vector:
+                out = encode.hot_vector(out, f"{t}_value", s["width"], f"{t}_hot")
+        names, inputs, final = [], [], {}
+        for i, s in enumerate(steps):
+            if "table" in s:
+                exprs = _table_exprs(s, F.col(f"_t{i}_value"), wide=not vector)
+                final |= exprs
+                own = list(exprs) or [f"_t{i}_hot"]
+                names += list(exprs)
+            else:
+                own = literal_names(s)
+                final |= {n: ident(n) for n in own}
+                names += own
+            inputs += own
+        hot = [F.col(c) for c in inputs if c not in final]
+        out = out.select(*[ident(c) for c in kept], *[final[n].alias(n) for n in names], *hot)
+        if vector:
+            # the assembler cannot read names with a dot, as in the column of a category "a.b"
+            safe = {n: f"_in{j}" if "." in n else n for j, n in enumerate(inputs)}
+            out = out.withColumns({a: ident(n) for n, a in safe.items() if a != n})
+            assembler = VectorAssembler(inputCols=[safe[n] for n in inputs], outputCol=vector)
             out = assembler.setHandleInvalid("keep").transform(out)
+            out = out.drop(*[a for n, a in safe.items() if a != n or n not in final])
         return out
 
 
@@ -118,7 +183,7 @@ def learn_steps(df: DataFrame, columns: Sequence[str], mode: str, encodings: str
         elif d["subtype"] == "low_cardinality_count":
             steps[c] = {"column": c, "op": "onehot", "fill": modes.get(c), "values": values[c]}
         else:
-            steps[c] = _categorical_step(d, modes.get(c), values.get(c), encodings)
+            steps[c] = _categorical_step(df, d, modes.get(c), values.get(c), encodings)
     _learn_powers(df, [s for s in steps.values() if s["op"] == "scaled"])
     for s in ("standard", "robust"):
         group = [x for x in steps.values() if x["op"] == "scaled" and x["scaler"] == s]
@@ -155,20 +220,58 @@ def _numeric_step(d: dict) -> dict:
     }
 
 
-def _categorical_step(d: dict, fill, values: list | None, encodings: str) -> dict:
+def _categorical_step(df: DataFrame, d: dict, fill, values: list | None, encodings: str) -> dict:
     c, wanted = d["column"], d["encoding"]
+    filled = ident(c) if fill is None else F.coalesce(ident(c), F.lit(fill))
     if wanted == "ordinal":
         order = d["category_order"]
         if order is not None:
             return {"column": c, "op": "code_text", "fill": fill, "values": order}
+        if (d["n_ordinal_matches"] or 0) >= 2:
+            return _learned(ordinal_codes(df, c).select(F.col("value").alias("key"), F.col("code").alias("value"), "n"), c, "code_text_table", fill)
         if values is not None:
             return {"column": c, "op": "code", "fill": fill, "values": values}
-    if encodings == "declared" and wanted == "frequency" and values is not None:
-        return {"column": c, "op": "lookup", "fill": fill}
-    if values is not None and (encodings == "onehot" or wanted in ("onehot", "target")):
+        return _learned(_codes(df, filled), c, "code_table", fill)
+    if encodings == "declared" and wanted == "frequency":
+        if values is not None:
+            return {"column": c, "op": "lookup", "fill": fill}
+        counts = df.groupBy(filled.alias("key")).agg(F.count(F.lit(1)).alias("n")).where(F.col("key").isNotNull())
+        total = df.where(filled.isNotNull()).count() or 1
+        return _learned(counts.withColumn("value", F.col("n") / F.lit(float(total))), c, "lookup_table", fill)
+    if values is not None:
         return {"column": c, "op": "onehot", "fill": fill, "values": values}
-    # more categories than a row of literals can hold: hash buckets keep every value
-    return {"column": c, "op": "hash", "fill": fill, "buckets": HASH_BUCKETS}
+    return _learned(_codes(df, filled), c, "onehot_table", fill)
+
+
+def _codes(df: DataFrame, filled: Column) -> DataFrame:
+    return dense_codes(df.select(filled.alias("key")), "key").withColumnRenamed("code", "value")
+
+
+def _learned(table: DataFrame, column: str, op: str, fill: object) -> dict:
+    """A step whose ``key, value, n`` are a table in the shared folder."""
+    spark = table.sparkSession
+    path = f"{shared_folder(spark)}/prepare-{uuid.uuid4().hex}"
+    table.select("key", "value", "n").write.parquet(path)
+    return {"column": column, "op": op, "fill": fill, "table": path, "width": spark.read.parquet(path).count()}
+
+
+def _table_key(s: dict) -> Column:
+    c = ident(s["column"])
+    c = c if s["fill"] is None else F.coalesce(c, F.lit(s["fill"]))
+    return trimmed_lower(c) if s["op"] == "code_text_table" else c
+
+
+def _table_exprs(s: dict, value: Column, wide: bool) -> dict[str, Column]:
+    """Columns of a step whose learned value is attached; none for a one-hot that goes to the vector."""
+    if s["op"] == "lookup_table":
+        return {s["column"]: F.coalesce(value, F.lit(0.0))}
+    if s["op"] != "onehot_table":
+        return {s["column"]: F.coalesce(value, F.lit(-1)).cast("int")}
+    if not wide:
+        return {}
+    if s["width"] > WIDE_COLUMNS:
+        raise ValueError(f"{s['column']} has {s['width']} categories: set outputCol to get them as a sparse vector")
+    return {n: F.coalesce((value == i).cast("int"), F.lit(0)) for i, n in enumerate(step_names(s))}
 
 
 def _learn_powers(df: DataFrame, steps: list[dict]) -> None:
@@ -192,12 +295,15 @@ def _before_scaling(s: dict) -> Column:
     return scaled(power.transform_expr(s["transform"], _filled(s), s["lambda"]), s["zc"], s["zs"])
 
 
+def literal_names(s: dict) -> list[str]:
+    return [encode.category_name(s["column"], v) for v in s["values"]] if s["op"] == "onehot" else [s["column"]]
+
+
 def step_names(s: dict) -> list[str]:
-    if s["op"] == "onehot":
-        return [encode.category_name(s["column"], v) for v in s["values"]]
-    if s["op"] == "hash":
-        return [f"{s['column']}_h{b}" for b in range(s["buckets"])]
-    return [s["column"]]
+    if s["op"] != "onehot_table":
+        return literal_names(s)
+    rows = SparkSession.active().read.parquet(s["table"]).orderBy("value").select("key").collect()
+    return [encode.category_name(s["column"], r["key"]) for r in rows]
 
 
 def step_exprs(s: dict) -> dict[str, Column]:
@@ -218,7 +324,4 @@ def step_exprs(s: dict) -> dict[str, Column]:
     if s["op"] == "lookup":
         table = F.create_map(*[F.lit(x) for pair in s["pairs"] for x in pair])
         return {name: F.coalesce(F.try_element_at(table, c), F.lit(0.0))}
-    if s["op"] == "hash":
-        bucket = F.pmod(key_hash(c, seed=0), F.lit(s["buckets"]))
-        return {f"{name}_h{b}": F.coalesce((bucket == b).cast("int"), F.lit(0)) for b in range(s["buckets"])}
     return {name: scaled(_before_scaling(s), s["center"], s["scale"])}

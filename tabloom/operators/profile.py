@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom.functions.order_stats import exact_quantiles
+from tabloom.functions.running import dense_codes
 from tabloom.functions.scalars import (
     INTEGRAL,
     NUMERIC,
@@ -57,7 +58,7 @@ def kinds(df: DataFrame, columns: Iterable[str] | None = None) -> dict[str, str]
 
 
 def ident(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def per_column(df: DataFrame, stats: Mapping[str, Mapping[str, Column]]) -> DataFrame:
@@ -361,7 +362,7 @@ def ordinal_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, n_matches, category_order``; the order is null below two matches.
 
     Ties of rank sort by value.  The array is only built for at most ORDER_ARRAY_LIMIT
-    matching values; :func:`ordinal_values` keeps the whole list as a table.
+    matching values; :func:`ordinal_codes` has the positions of any number of them as a table.
     """
     values = ordinal_values(df, columns)
     counts = values.groupBy("column").agg(F.count(F.lit(1)).alias("n_matches"))
@@ -374,6 +375,12 @@ def ordinal_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.join(F.broadcast(arrays), "column", "left")
 
 
+def ordinal_codes(df: DataFrame, column: str) -> DataFrame:
+    """``value, code, n``: position of every ordinal wording in the order of :func:`ordinal_order`, as a table."""
+    order = F.struct("rank", "value").alias("_order")
+    return dense_codes(ordinal_values(df, [column]).select(order), "_order").select("_order.value", "code", "n")
+
+
 # ---- the whole profile --------------------------------------------------------------
 
 PROFILE_SCHEMA = T.StructType(

@@ -120,9 +120,9 @@ def rank_results(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers by revenue with their place; places come from range-wise running counts."""
     from tabloom.functions.running import prefix_sums
 
-    rev = ranking.rank_results(_revenue(spark, sf), "revenue", "l_suppkey")
-    ones = rev.withColumn("_k", F.concat_ws(":", F.format_string("%020.2f", 1e15 - F.col("revenue")), F.format_string("%020d", "l_suppkey")))
-    placed = prefix_sums(ones.withColumn("one", F.lit(1).cast("bigint")), "_k", ["one"])
+    order = F.struct((-F.col("revenue")).alias("value"), F.col("l_suppkey").alias("id"))
+    ones = _revenue(spark, sf).withColumns({"_k": order, "one": F.lit(1).cast("bigint")})
+    placed = prefix_sums(ones, "_k", ["one"])
     return placed.select("l_suppkey", "revenue", F.col("cum_one").alias("place"))
 
 

@@ -446,4 +446,4 @@ def txt_hash(spark: SparkSession, sf: str) -> DataFrame:
 @query("txt_embeddings")
 def txt_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     out = text.embeddings(table(spark, sf, "documents"), "doc_id", "text")
-    return out.select("doc_id", F.size("embedding").alias("dims"))
+    return out.select("doc_id", F.size("embedding").alias("dims"), "embedding")

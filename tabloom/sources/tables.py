@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,7 +121,7 @@ def with_stratified_split(
     ever sorted in one task.
     """
     h = key_hash(*keys, seed=seed)
-    classes = class_values(df, label)
+    classes, rest = split_classes(df, label)
     stats = order_statistics(
         df, {str(i): F.when(F.col(label) == F.lit(v), h) for i, v in enumerate(classes)},
         lambda _c, n: [int(ratio * n + 1e-9)],
@@ -130,30 +130,45 @@ def with_stratified_split(
     for i, v in enumerate(classes):
         for cut in stats[str(i)][1].values():
             test = test | ((F.col(label) == F.lit(v)) & (h <= F.lit(int(cut))))
-    return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
+    def named(part: DataFrame, is_test: Column) -> DataFrame:
+        return part.withColumn("split", F.when(is_test, "test").otherwise("train"))
 
-MAX_CLASSES = 1000
+    if rest is None:
+        return named(df, test)
+    rank, n = _class_rank(label, h)
+    return named(df.where(~rest), test).unionAll(named(df.where(rest), rank <= F.floor(F.lit(ratio) * n + 1e-9)))
 
 
-def class_values(df: DataFrame, label: str) -> list:
-    """Sorted class labels; a label with more than MAX_CLASSES values is refused."""
-    rows = df.where(F.col(label).isNotNull()).select(label).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return sorted(r[0] for r in rows)
+#: classes whose cuts are literals; every other class holds at most 1 / (HOT_CLASSES + 1) of the rows
+HOT_CLASSES = 256
+
+
+def split_classes(df: DataFrame, label: str) -> tuple[list, Column | None]:
+    """The heaviest class labels, sorted, and the condition of the rows of all others (None: there are none)."""
+    sizes = df.where(F.col(label).isNotNull()).groupBy(label).count()
+    rows = sizes.orderBy(F.col("count").desc(), F.col(label)).limit(HOT_CLASSES + 1).collect()
+    heavy = sorted(r[0] for r in rows[:HOT_CLASSES])
+    return heavy, F.col(label).isNotNull() & ~F.col(label).isin(heavy) if len(rows) > HOT_CLASSES else None
+
+
+def _class_rank(label: str, h: Column) -> tuple[Column, Column]:
+    """Rank by key hash within the class and the class size, for classes too light to be a hot window."""
+    w = Window.partitionBy(label)
+    return F.rank().over(w.orderBy(h)), F.count(F.lit(1)).over(w)
 
 
 def with_folds(
     df: DataFrame, k: int, keys: Sequence[str], label: str | None = None, seed: int = SEED
 ) -> DataFrame:
-    """Add ``fold`` 0..k-1 with sizes differing by at most one (per class when stratified)."""
+    """Add ``fold`` 0..k-1 with sizes differing by at most one (per class when stratified, any number of classes)."""
     h = key_hash(*keys, seed=seed)
+    rest = None
     if label is None:
         parts = {"all": h}
         member = {"all": F.lit(True)}
     else:
-        classes = class_values(df, label)
+        classes, rest = split_classes(df, label)
         member = {str(i): F.col(label) == F.lit(v) for i, v in enumerate(classes)}
         parts = {c: F.when(m, h) for c, m in member.items()}
     stats = order_statistics(df, parts, lambda _c, n: sorted({n * i // k for i in range(1, k)} - {0}))
@@ -162,7 +177,12 @@ def with_folds(
         cuts = [int(at[n * i // k]) if n * i // k else -1 for i in range(1, k)]
         code = sum((((h > F.lit(cut)).cast("int")) for cut in cuts), F.lit(0))
         fold = code if fold is None and label is None else (F.when(member[c], code) if fold is None else fold.when(member[c], code))
-    return df.withColumn("fold", fold if fold is not None else F.lit(0))
+    fold = fold if fold is not None else F.lit(0)
+    if rest is None:
+        return df.withColumn("fold", fold)
+    rank, n = _class_rank(label, h)
+    light = sum(((rank > F.floor(n * i / k)).cast("int") for i in range(1, k)), F.lit(0))
+    return df.where(~rest).withColumn("fold", fold).unionAll(df.where(rest).withColumn("fold", light))
 
 
 @dataclass

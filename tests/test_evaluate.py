@@ -37,6 +37,8 @@ def test_auc_counts_ties_half_and_matches_by_group(spark):
     assert metrics.roc_auc(df.where("g = 0"), "label", "score").first()[0] == pytest.approx(0.875)
     got = {r["g"]: r["roc_auc"] for r in metrics.roc_auc_by(df, "label", "score", ["g"]).collect()}
     assert got == pytest.approx({0: 0.875, 1: 0.0})
+    many = {r["g"]: r["roc_auc"] for r in metrics.roc_auc_by(df, "label", "score", ["g"], range_rows=1).collect()}
+    assert many == pytest.approx(got)
 
 
 def test_roc_starts_at_infinity(four):

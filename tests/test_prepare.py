@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from tabloom.operators import encode, impute, power, scale
+from tabloom.operators import encode, impute, power, profile, scale
 from tabloom.operators.preprocess import TabularPreprocessor
 from tabloom.operators.transformers import FunctionTransformer, register_function
 from tabloom.streaming.score import score_stream
@@ -103,3 +103,40 @@ def test_iterative_imputation_recovers_a_line(spark):
     df = spark.range(100).select("id", F.col("id").cast("double").alias("a"), F.when(F.col("id") % 4 > 0, F.col("id") * 2.0 + 1).alias("b"))
     got = {r["id"]: r["b"] for r in impute.impute_iterative(df, ["b"], ["a"], ["id"], rounds=1).collect()}
     assert got == pytest.approx({i: 2.0 * i + 1 for i in range(100)}, abs=1e-6)
+
+
+def test_learned_tables_give_what_literals_give(spark, tmp_path, monkeypatch):
+    rows = [(i, f"k.{i % 23:02d}", ["low", "medium", "high", "extra high"][i % 4] if i % 7 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, code string, risk string")
+    new = df.unionAll(spark.createDataFrame([(900, "unseen", "unseen"), (901, None, None)], df.schema))
+    cols = ["code", "risk"]
+
+    def fitted(encodings, out):
+        prep = TabularPreprocessor(inputCols=cols, keepCols=["id"], encodings=encodings, outputCol=out)
+        return Pipeline(stages=[prep]).fit(df)
+
+    def rows_of(model, *names):
+        return model.transform(new).select("id", *names).orderBy("id").collect()
+
+    literal = {e: fitted(e, "features") for e in ("onehot", "declared")}
+    wide = rows_of(fitted("onehot", ""), *[f"`{n}`" for n in literal["onehot"].stages[0].feature_names])
+    want = {e: [r["features"].toArray().tolist() for r in rows_of(m, "features")] for e, m in literal.items()}
+    monkeypatch.setattr(encode, "LITERAL_CATEGORIES", 3)
+    monkeypatch.setattr(profile, "ORDER_ARRAY_LIMIT", 1)
+    for e, m in literal.items():
+        table = fitted(e, "features")
+        assert any("table" in s for s in table.stages[0].steps)
+        assert table.stages[0].feature_names == m.stages[0].feature_names
+        table.write().save(str(tmp_path / e))
+        again = PipelineModel.load(str(tmp_path / e))
+        assert str(tmp_path) in next(s["table"] for s in again.stages[0].steps if "table" in s)
+        assert [r["features"].toArray().tolist() for r in rows_of(again, "features")] == want[e]
+    assert rows_of(fitted("onehot", ""), *[f"`{n}`" for n in literal["onehot"].stages[0].feature_names]) == wide
+
+
+def test_more_categories_than_literals_stay_apart(spark):
+    df = spark.range(3003).select("id", F.format_string("k%04d", F.col("id") % 1001).alias("c"))
+    model = TabularPreprocessor(inputCols=["c"], keepCols=["id"], outputCol="v").fit(df)
+    got = {r["id"]: r["v"] for r in model.transform(df).collect()}
+    assert {v.size for v in got.values()} == {1001}
+    assert all(v.toArray().nonzero()[0].tolist() == [i % 1001] for i, v in got.items())

@@ -68,3 +68,15 @@ def test_quoted_line_breaks_stay_in_their_cell(spark, tmp_path):
 
     (tmp_path / "a.csv").write_text('n,t\n1,"x\ny"\n2,"he said ""z"""\n')
     assert [tuple(r) for r in read_csv(spark, str(tmp_path / "a.csv")).orderBy("n").collect()] == [(1, "x\ny"), (2, 'he said "z"')]
+
+
+def test_more_classes_than_literals(spark, monkeypatch):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 40).alias("y"))
+
+    def marks():
+        split = src.with_stratified_split(df, "y", ["id"], 0.3)
+        return {tuple(r) for r in src.with_folds(split, 4, ["id"], "y").select("id", "y", "split", "fold").collect()}
+
+    want = marks()
+    monkeypatch.setattr(src, "HOT_CLASSES", 3)
+    assert marks() == want
