@@ -17,7 +17,7 @@ from tabloom.functions.attach import attach
 from tabloom.functions.running import dense_codes
 from tabloom.functions.scalars import key_hash, trimmed_lower
 from tabloom.operators.profile import ident
-from tabloom.session import together
+from tabloom.session import keep, together
 
 LITERAL_CATEGORIES = 1000
 
@@ -92,7 +92,7 @@ def ordinal_ordered(df: DataFrame, column: str, order: Sequence[str], to: str |
 def frequency(df: DataFrame, column: str, to: str | None = None) -> DataFrame:
     """Relative frequency of each row's category among non-null rows."""
     to = to or f"{column}_freq"
-    counts = df.where(ident(column).isNotNull()).groupBy(ident(column).alias(column)).agg(F.count(F.lit(1)).alias("n"))
+    counts = keep(df.where(ident(column).isNotNull()).groupBy(ident(column).alias(column)).agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 1
     return attach(df, counts.withColumn(to, F.col("n") / F.lit(float(total))), [column], "n")
 
@@ -101,7 +101,7 @@ def target_oof(df: DataFrame, column: str, label: str, fold: str = "fold", to: s
     """Out-of-fold target mean: totals minus the row's own fold; the global mean where nothing is left."""
     to = to or f"{column}_target"
     y = ident(label).cast("double")
-    cells = df.groupBy(column, fold).agg(F.count(y).alias("n"), F.sum(y).alias("s"))
+    cells = keep(df.groupBy(column, fold).agg(F.count(y).alias("n"), F.sum(y).alias("s")))  # read for the map and its size
     # the window runs over (category, fold) cells: at most k rows per category
     w = Window.partitionBy(column)
     enc = cells.select(

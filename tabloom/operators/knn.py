@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 PIVOTS, RINGS = 64, 8
 BLOCK_ROWS = 2048
+QUERY_SLICE = 64  # queries per matrix product
+ROUNDING = 1e-9  # relative slack of squared distances from products
 MERGE_BLOCKS = 64
 
 
@@ -83,6 +85,31 @@ def _plan(stats: list, radii: dict[int, float], pivots: np.ndarray, k: int, drop
     return out
 
 
+def _nearest(q: np.ndarray, t: np.ndarray, k: int, same: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query row, training row and distance of the ``k`` nearest training rows of each query; ties by position.
+
+    A matrix product per slice of queries proposes every row within rounding of the k-th, and only these get their
+    distance from differences.
+    """
+    tt, found = np.einsum("ij,ij->i", t, t), []
+    for lo in range(0, len(q), QUERY_SLICE):
+        part = q[lo : lo + QUERY_SLICE]
+        size = np.einsum("ij,ij->i", part, part)
+        rough = size[:, None] + tt[None, :] - 2.0 * (part @ t.T)
+        if same is not None:
+            rough[same[lo : lo + QUERY_SLICE]] = np.inf
+        kth = np.partition(rough, min(k, len(t)) - 1, axis=1)[:, min(k, len(t)) - 1]
+        limit = kth + ROUNDING * (size + tt.max())
+        qi, ti = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+        diff = part[qi] - t[ti]
+        d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        order = np.lexsort((ti, d, qi))
+        qi, ti, d = qi[order], ti[order], d[order]
+        place = np.arange(len(qi)) - np.searchsorted(qi, qi)
+        found.append((qi[place < k] + lo, ti[place < k], d[place < k]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def neighbours(
     queries: DataFrame, train: DataFrame, key: str, vector: str, k: int, extra: Sequence[str] = (), drop_self: bool = False
 ) -> DataFrame:
@@ -129,23 +156,16 @@ def neighbours(
         if not len(left) or not len(right):
             return empty
         right = right.sort_values("neighbour")
-        m, parts = _matrix(right["v"]), []
-        ids, group = right["neighbour"].to_numpy(), int(left["tb"].iloc[0]) // MERGE_BLOCKS
-        for qid, v in zip(left[key], left["v"]):
-            d = _distances(np.asarray(v, dtype=float), m)
-            if drop_self:
-                d = np.where(ids == qid, np.inf, d)
-            top = np.argsort(d, kind="stable")[:k]
-            top = top[np.isfinite(d[top])]
-            part = right.iloc[top][["neighbour", *extra]].copy()
-            part["distance"], part[key], part["tg"] = d[top], qid, group
-            parts.append(part)
-        return pd.concat(parts)[[key, "tg", "neighbour", "distance", *extra]]
+        same = (left[key].to_numpy()[:, None] == right["neighbour"].to_numpy()[None, :]) if drop_self else None
+        qi, ti, d = _nearest(_matrix(left["v"]), _matrix(right["v"]), k, same)
+        out = right.iloc[ti][["neighbour", *extra]].copy()
+        out["distance"], out[key], out["tg"] = d, left[key].to_numpy()[qi], int(left["tb"].iloc[0]) // MERGE_BLOCKS
+        return out[[key, "tg", "neighbour", "distance", *extra]]
 
     partial = qs.groupBy("qcell", "qb", "tb").cogroup(ts.groupBy("qcell", "qb", "tb")).applyInPandas(block, schema)
     entry = F.struct("distance", "neighbour", *extra)
     best = F.slice(F.array_sort(F.collect_list(entry)), 1, k).alias("top")
-    if max(b[2] for b in blocks) > MERGE_BLOCKS:
+    if max((b[2] for b in blocks), default=0) > MERGE_BLOCKS:
         # many training blocks: merge MERGE_BLOCKS of them at a time, then the survivors
         tier = partial.groupBy(key, "tg").agg(best).select(key, F.inline("top"))
         partial = tier

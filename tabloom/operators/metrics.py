@@ -168,13 +168,17 @@ def best_threshold(df: DataFrame, label: str, score: str, metric: str = "f1") ->
     """
     if metric not in THRESHOLD_METRICS:
         raise ValueError(f"unsupported metric {metric!r} for threshold optimisation")
-    table = score_table(df, label, score)
+    return best_thresholds(df, label, score, [metric]).select("best_threshold", "best_score")
+
+
+def best_thresholds(df: DataFrame, label: str, score: str, wanted: Sequence[str] = THRESHOLD_METRICS) -> DataFrame:
+    """``metric, best_threshold, best_score`` of several metrics from one score table in one aggregation."""
     tp, fp, p = F.col("tp").cast("double"), F.col("fp").cast("double"), F.lit(float(_class_totals(df, label, score)[0]))
-    precision, recall, f1 = _prf(tp, fp, p - tp)
-    value = {"precision": precision, "recall": recall, "f1": f1}[metric]
-    best = table.select("threshold", value.alias("s")).agg(
-        F.max(F.struct(F.col("s"), F.col("threshold"))).alias("b")
-    )
+    values = dict(zip(("precision", "recall", "f1"), _prf(tp, fp, p - tp)))
+    best = score_table(df, label, score).agg(*[F.max(F.struct(values[m].alias("s"), "threshold")).alias(m) for m in wanted])
+    rows = best.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("b")) for m in wanted])))
     # the curve starts at an infinite threshold that predicts nothing and scores 0
     b = F.when(F.col("b.s") > 0, F.col("b.threshold")).when(F.col("b").isNotNull(), F.lit(math.inf))
-    return best.select(F.coalesce(b, F.lit(0.5)).alias("best_threshold"), F.coalesce(F.col("b.s"), F.lit(-1.0)).alias("best_score"))
+    return rows.select(
+        "metric", F.coalesce(b, F.lit(0.5)).alias("best_threshold"), F.coalesce(F.col("b.s"), F.lit(-1.0)).alias("best_score")
+    )

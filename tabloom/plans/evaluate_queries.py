@@ -85,12 +85,8 @@ _THR = " UNION ALL ".join(
 
 @query("thr_optimize", sql=f"WITH t AS ({LINES_SQL}), {_CUM} {_THR}")
 def thr_optimize(spark: SparkSession, sf: str) -> DataFrame:
-    df = lines_frame(spark, sf)
-    parts = [
-        metrics.best_threshold(df, "label", "score", m).select(F.lit(m).alias("metric"), "best_threshold", F.round("best_score", 8).alias("best_score"))
-        for m in metrics.THRESHOLD_METRICS
-    ]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    best = metrics.best_thresholds(lines_frame(spark, sf), "label", "score")
+    return best.select("metric", "best_threshold", F.round("best_score", 8).alias("best_score"))
 
 
 @query(

@@ -114,3 +114,19 @@ def test_neighbours_equal_brute_force_with_a_crowded_point(spark, monkeypatch):
         d[i] = np.inf
         want = np.lexsort((np.arange(300), d))[:4].tolist()
         assert [got[i][k] for k in range(1, 5)] == want
+
+
+def test_neighbours_of_equal_and_distant_vectors():
+    from tabloom.operators import knn
+
+    rng = np.random.default_rng(5)
+    t = np.concatenate([rng.normal(size=(60, 3)) + 1e4, np.zeros((40, 3))])
+    q = np.concatenate([t[:80], [[np.nan] * 3]])
+    same = np.arange(len(q))[:, None] == np.arange(len(t))[None, :]
+    qi, ti, d = knn._nearest(q, t, 4, same)
+    for i in range(80):
+        exact = np.sqrt(((t - q[i]) ** 2).sum(1))
+        exact[i] = np.inf
+        want = np.argsort(exact, kind="stable")[:4]
+        assert ti[qi == i].tolist() == want.tolist() and d[qi == i] == pytest.approx(exact[want])
+    assert 80 not in qi
