@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tabloom.operators import cv, ensemble, knn, metrics, models, selectors, tune
 from tabloom.operators.transformers import majority, mean_of
 from tabloom.plans import search
-from tabloom.plans.frames import DOC_FEATURES, DOCS_SQL, LINES_SQL, doc_features, docs_frame, lines_frame, table
+from tabloom.plans.frames import DOC_FEATURES, DOCS_SQL, LINES_SQL, doc_features, docs_frame, lines_frame, raw_doc_features, table
 from tabloom.plans.registry import query
+from tabloom.plans.sqltext import hash_sql
 from tabloom.session import keep, shared_folder
 from tabloom.sources import store
 from tabloom.sources.tables import with_folds
@@ -313,37 +314,120 @@ def ens_search(spark: SparkSession, sf: str) -> DataFrame:
     return board.select("name", "model", F.round("metric", 6).alias("metric"))
 
 
-# ---- stored models ------------------------------------------------------------------------------------
+# ---- Bayes over documents: a closed form that SQL can follow through folds, store and scoring ------------
+
+_BAYES = ("log_chars", "upper_share", "digit_share", "punct_share")
+
+
+def _share_sql(kept: str) -> str:
+    return f"coalesce(length(regexp_replace(text, '[^{kept}]', '', 'g'))::DOUBLE / nullif(length(text), 0), 0.0)"
+
+
+def _bayes_sql(train: str, target: str, folds: int = 1) -> str:
+    """CTEs up to ``z`` (i, doc_id, label, fold, score, prediction): model i learns from rows with ``train``, scores those with ``target``."""
+    share = {"log_chars": "ln(1 + length(text))", "upper_share": _share_sql("A-Z"), "digit_share": _share_sql("0-9"), "punct_share": _share_sql(".,;:!?")}
+    rank = f"CASE WHEN label IS NOT NULL THEN row_number() OVER (PARTITION BY label ORDER BY {hash_sql('doc_id')}) END"
+    fold = " + ".join(f"CASE WHEN rn > ({k} * cnt) // 5 THEN 1 ELSE 0 END" for k in range(1, 5))
+    stats = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in _BAYES)
+    ll = " + ".join(f"-0.5 * ln(2 * pi() * (v_{c} + e)) - 0.5 * pow({c} - m_{c}, 2) / (v_{c} + e)" for c in _BAYES)
+    return f"""WITH f0 AS (SELECT doc_id, quality AS label, {", ".join(f"{e} AS {c}" for c, e in share.items())} FROM ({DOCS_SQL})),
+    f1 AS (SELECT *, {rank} AS rn, count(*) OVER (PARTITION BY label) AS cnt FROM f0), f AS (SELECT *, {fold} AS fold FROM f1),
+    tr AS (SELECT i, f.* FROM f, range({folds}) r(i) WHERE label IS NOT NULL AND {train}),
+    p AS (SELECT i, label AS y, count(*)::DOUBLE AS n, {stats} FROM tr GROUP BY i, label),
+    e AS (SELECT i, count(*) AS total, 1e-9 * greatest({", ".join(f"var_pop({c})" for c in _BAYES)}) AS e FROM tr GROUP BY i),
+    s AS (SELECT p.i, doc_id, label, fold, y, ln(n / total) + {ll} AS ll FROM f JOIN p ON {target} JOIN e ON e.i = p.i),
+    w AS (SELECT i, doc_id, any_value(label) AS label, any_value(fold) AS fold, max(CASE WHEN y = 1 THEN ll END) AS l1, max(CASE WHEN y = 0 THEN ll END) AS l0 FROM s GROUP BY i, doc_id),
+    z AS (SELECT i, doc_id, label, fold, 1 / (1 + exp(l0 - l1)) AS score, CASE WHEN l1 > l0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM w)"""
+
+
+_RATES_SQL = """coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+    coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1"""
+_CELLS_SQL = ", ".join(
+    f"count(*) FILTER (WHERE label = {y} AND prediction = {p})::DOUBLE AS {c}" for c, y, p in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))
+)
+
+
+def bayes_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """Plain text shares of every document and its quality label, null where there is none."""
+    return keep(raw_doc_features(spark, sf, labelled=False).select("doc_id", "label", *_BAYES))
+
+
+def _bayes_fit(train: DataFrame, _i: int = 0):
+    return models.fit(models.get("gaussian_nb"), train, _BAYES)
+
 
+def _bayes_folds(spark: SparkSession, sf: str) -> DataFrame:
+    return keep(with_folds(bayes_frame(spark, sf).where("label is not null"), 5, KEYS, "label"))
 
-def _store_base(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/models"
+
+@query(
+    "cv_bayes",
+    sql=_bayes_sql("fold <> i", "label IS NOT NULL", 5) + f""", parts AS (SELECT *, CASE WHEN fold = i THEN 'test' ELSE 'train' END AS part FROM z),
+    c AS (SELECT i, part, {_CELLS_SQL} FROM parts GROUP BY i, part), r AS (SELECT i, part, {_RATES_SQL} FROM c),
+    m AS (SELECT part, avg(accuracy) AS accuracy, avg(precision) AS precision, avg(recall) AS recall, avg(f1) AS f1 FROM r GROUP BY part)
+    SELECT part || '_' || name AS metric, round(value, 8) AS value FROM (UNPIVOT m ON accuracy, precision, recall, f1 INTO NAME name VALUE value)""",
+)
+def cv_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean train and test metrics over five stratified folds; every fold model has a closed form."""
+    got = cv.cross_validate(_bayes_folds(spark, sf), _bayes_fit, 5, auc=False)
+    return spark.createDataFrame([(k, round(v, 8)) for k, v in sorted(got.items())], "metric string, value double")
+
+
+@query("cv_out_of_fold", sql=_bayes_sql("fold <> i", "fold = p.i", 5) + " SELECT doc_id, fold::INT AS fold, label::DOUBLE AS label, prediction, round(score, 6) AS score FROM z WHERE label IS NOT NULL")
+def cv_out_of_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Every labelled document scored by the fold model that did not see it."""
+    return cv.out_of_fold(_bayes_folds(spark, sf), _bayes_fit, 5, KEYS).select("doc_id", "fold", "label", "prediction", F.round("score", 6).alias("score"))
+
+
+@query(
+    "eval_threshold_bayes",
+    sql=_bayes_sql("fold <> i", "fold = p.i", 5) + f""", h AS (SELECT label, CASE WHEN score >= 0.9 THEN 1 ELSE 0 END AS prediction FROM z WHERE label IS NOT NULL),
+    c AS (SELECT {_CELLS_SQL} FROM h), k AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
+      coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
+      coalesce(2 * tn / nullif(2 * tn + fp + fn, 0), 0) AS f0 FROM c)
+    SELECT round((tp + tn) / (tp + fp + fn + tn), 8) AS accuracy, round((k.f1 + k.f0) / 2, 8) AS f1, round((p1 + p0) / 2, 8) AS precision,
+      round((r1 + r0) / 2, 8) AS recall, round((r1 + r0) / 2, 8) AS roc_auc FROM k""",
+)
+def eval_threshold_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    out = cv.evaluate_threshold(_bayes_folds(spark, sf), _bayes_fit, 5, 0.9)
+    return out.select(*[F.round(c, 8).alias(c) for c in out.columns])
+
+
+# ---- stored models ------------------------------------------------------------------------------------
 
 
 def _stored(spark: SparkSession, df: DataFrame) -> str:
-    model = models.fit(models.get("logistic_l2"), df, NAMES)
+    model = _bayes_fit(df)
     acc = metrics.classification(model.transform(df), "label", "prediction").first()
-    return store.save_model(spark, _store_base(spark), "logistic", model, acc.asDict(), NAMES)
+    return store.save_model(spark, f"{shared_folder(spark)}/models", "bayes", model, acc.asDict(), _BAYES)
 
 
-@query("sink_model")
+@query(
+    "sink_model",
+    sql=_bayes_sql("true", "label IS NOT NULL") + f""", c AS (SELECT {_CELLS_SQL} FROM z), r AS (SELECT {_RATES_SQL} FROM c)
+    SELECT 'bayes' AS name, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1, {len(_BAYES)} AS n_features FROM r""",
+)
 def sink_model(spark: SparkSession, sf: str) -> DataFrame:
-    folder = _stored(spark, keep(doc_features(spark, sf)))
+    """Metadata of a stored model: the metrics it had on its training rows."""
+    folder = _stored(spark, bayes_frame(spark, sf).where("label is not null"))
+    m = F.col("metrics")
     return store.load_metadata(spark, folder).select(
-        "name", F.round(F.col("metrics")["accuracy"], 6).alias("accuracy"), F.size("selected_features").alias("n_features")
+        "name", F.round(m["accuracy"], 6).alias("accuracy"), F.round(m["f1"], 6).alias("f1"), F.size("selected_features").alias("n_features")
     )
 
 
-@query("source_model")
+@query("source_model", sql=_bayes_sql("true", "label IS NOT NULL") + " SELECT doc_id, label::DOUBLE AS label, prediction, round(score, 6) AS probability FROM z")
 def source_model(spark: SparkSession, sf: str) -> DataFrame:
-    m = store.load_model(_stored(spark, keep(doc_features(spark, sf))))
-    return spark.createDataFrame([(i, type(s).__name__) for i, s in enumerate(m.stages)], "position int, stage string")
+    """The model read back from its folder, applied to the rows it learned from."""
+    df = bayes_frame(spark, sf).where("label is not null")
+    scored = store.score(store.load_model(_stored(spark, df)), df)
+    return scored.select("doc_id", "prediction", "label", F.round(vector_to_array("probability")[1], 6).alias("probability"))
 
 
-@query("score_batch")
+@query("score_batch", sql=_bayes_sql("true", "label IS NULL") + " SELECT doc_id, prediction, round(score, 6) AS probability FROM z")
 def score_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Documents without a label, scored by the stored model that learned from the labelled ones."""
-    df = keep(doc_features(spark, sf, labelled=False))
+    df = bayes_frame(spark, sf)
     known = F.col("label").isNotNull()
     scored = store.score(store.load_model(_stored(spark, df.where(known))), df.where(~known))
     return scored.select("doc_id", "prediction", F.round(vector_to_array("probability")[1], 6).alias("probability"))

@@ -78,7 +78,33 @@ def impute_indicator(spark: SparkSession, sf: str) -> DataFrame:
     return impute.add_indicators(_nulled_docs(spark, sf), ["quality"]).select("doc_id", "quality", "quality_missing")
 
 
-@query("impute_iterative")
+def _det3(rows) -> str:
+    (a, b, c), (d, e, f), (g, h, i) = rows
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+def _slopes_sql(y: str, xs: tuple[str, str, str]) -> str:
+    """Least-squares slopes w_<y>_<x> by Cramer's rule over the covariances of ``s``."""
+    cov = lambda p, q: f"s_{min(p, q)}{max(p, q)}"
+    full = [[cov(p, q) for q in xs] for p in xs]
+    with_y = lambda k: [[cov(p, y) if j == k else v for j, v in enumerate(row)] for p, row in zip(xs, full)]
+    return ", ".join(f"{_det3(with_y(k))} / {_det3(full)} AS w_{y}_{x}" for k, x in enumerate(xs))
+
+
+def _iterative_sql() -> str:
+    names = "abqx"
+    cov = ", ".join(f"covar_pop({p}, {q}) AS s_{p}{q}" for i, p in enumerate(names) for q in names[i:])
+    guess = lambda y, o, v: f"m_{y} + w_{y}_{o} * ({v} - m_{o}) + w_{y}_a * (a - m_a) + w_{y}_b * (b - m_b)"
+    return f"""WITH t AS (SELECT doc_id, n_chars::DOUBLE AS a, (length(text) - length(replace(text, ' ', '')) + 1)::DOUBLE AS b,
+      quality::DOUBLE AS q, toxic::DOUBLE AS x FROM ({DOCS_SQL})),
+    s AS (SELECT {", ".join(f"avg({c}) AS m_{c}" for c in names)}, {cov} FROM t WHERE q IS NOT NULL),
+    w AS (SELECT *, {_slopes_sql("q", ("x", "a", "b"))}, {_slopes_sql("x", ("q", "a", "b"))} FROM s),
+    r1 AS (SELECT *, {guess("q", "x", "m_x")} AS q1 FROM t, w), r2 AS (SELECT *, {guess("x", "q", "q1")} AS x1 FROM r1),
+    r3 AS (SELECT *, {guess("q", "x", "x1")} AS q2 FROM r2), r4 AS (SELECT *, {guess("x", "q", "q2")} AS x2 FROM r3)
+    SELECT doc_id, round(coalesce(q, q2), 6) AS quality, round(coalesce(x, x2), 6) AS toxic FROM r4"""
+
+
+@query("impute_iterative", sql=_iterative_sql())
 def impute_iterative(spark: SparkSession, sf: str) -> DataFrame:
     df = docs_frame(spark, sf).select("doc_id", "n_chars", F.length("text").alias("len"), F.size(F.split("text", " ")).alias("words"), "quality", "toxic")
     return impute.impute_iterative(df, ["quality", "toxic"], ["n_chars", "words"], ["doc_id"], rounds=2).select(
