@@ -20,8 +20,9 @@ from tabloom.sources.tables import with_folds
 C, R = "classification", "regression"
 NAMES = list(DOC_FEATURES)
 KEYS = ["doc_id"]
-# the search queries run every row through smaller settings; the library defaults stay 5 folds, 50 trees, 30 trials
-QUERY_SEARCH = search.SearchConfig(folds=3, rfe_folds=2, trees=10, stack_folds=3, tune_folds=3, trials=8)
+QUERY_SEARCH = search.DEFAULT
+# nested elimination fits folds x inner folds x features x trees: this query alone runs every row through smaller settings
+SELECT_SEARCH = search.SearchConfig(folds=3, rfe_folds=2, trees=10)
 
 
 def labelled(spark: SparkSession, sf: str, folds: int = 5) -> DataFrame:
@@ -191,7 +192,7 @@ def sel_feature_names(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sel_search")
 def sel_search(spark: SparkSession, sf: str) -> DataFrame:
-    return search.select_features(labelled(spark, sf, QUERY_SEARCH.folds), NAMES, C, QUERY_SEARCH).select(
+    return search.select_features(labelled(spark, sf, SELECT_SEARCH.folds), NAMES, C, SELECT_SEARCH).select(
         "name", F.array_join("selectors", ",").alias("selectors"), "model", "family", "priority", F.round("metric", 6).alias("metric"),
         F.array_join("selected_features", ",").alias("selected_features"),
     )
@@ -200,7 +201,7 @@ def sel_search(spark: SparkSession, sf: str) -> DataFrame:
 @query("model_search")
 def model_search(spark: SparkSession, sf: str) -> DataFrame:
     df = labelled(spark, sf, QUERY_SEARCH.folds)
-    board = search.select_models(df, NAMES, C, "non_linear", "svm", QUERY_SEARCH, {"n_estimators": QUERY_SEARCH.trees})
+    board = search.select_models(df, NAMES, C, "non_linear", "svm", QUERY_SEARCH)
     return board.select("name", "model", "family", F.round("metric", 6).alias("metric"))
 
 
