@@ -9,7 +9,7 @@ lambda * S - ln(K n) over its significant segments (of the best one if none is),
 the calibration fold turns it into a probability.
 
 Log-odds are learned from the training rows of folds 1 to 3, the calibration from fold 4, so that no document calibrates
-its own tokens; fold 0 is held out. Exact copies teach once. At most about ``max_labelled`` labelled rows are used, and the
+its own tokens; fold 0 is held out. Each labelled row teaches, copies too. At most about ``max_labelled`` labelled rows are used, and the
 model keeps the ``max_tokens`` most significant tokens: both bound the model, not the documents scored.
 
 Defined results: null and empty texts have no segment and get the score of a text without evidence; without labels of
