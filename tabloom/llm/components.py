@@ -9,7 +9,8 @@ from tabloom.llm.shared import stash
 
 
 def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum("a"), F.sum("b")).first()
+    wide = [F.sum(F.col(c).cast("decimal(20,0)")) for c in ("a", "b")]  # sums of hashed ids exceed a long
+    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), *wide).first()
     return tuple(row)
 
 

@@ -22,7 +22,6 @@ with nothing (component null); an empty table gives an empty one.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -33,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.attach import attach
+from tabloom.llm import shingle_pairs
 from tabloom.llm.components import connected_components
 from tabloom.llm.shared import binaries, star_edges, stash
 
@@ -279,23 +279,15 @@ def near_duplicates(
     return out.select("id", F.array(*fps).alias("fp"), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def similarity_bits(similarity: float, bits: int) -> int:
-    """Bits of ``bits`` by which fingerprints of shingle sets with this Jaccard similarity differ on average."""
-    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the smallest id. Five-word shingles, fingerprints of
-    256 bits; 64 of them are indexed within 13 bits, the complete distance decides. Rows without id stay; of
+    """``docs`` with one document of each near-duplicate group: the smallest id. Documents are linked if the exact Jaccard
+    similarity of their sets of five-word shingles is ``similarity`` or more (see ``shingle_pairs``). Rows without id stay; of
     rows that repeat an id one stays."""
-    full = similarity_bits(similarity, 256)
-    found = near_duplicates(
-        docs, id_col=id_col, text_col=text_col, shingle=5, parts=4, segments=7, max_bits=13, full_bits=full
-    )
+    found = stash(shingle_pairs.copies(docs, id_col=id_col, text_col=text_col, shingle=5, similarity=similarity), "mih-copies")
     key = F.col(id_col).cast("bigint")
     gone = found.where("id <> component_id").select(F.col("id").alias("__id")).distinct()
     left = docs.join(gone, key == F.col("__id"), "left_anti")
-    again = stash(found.where("id is not null").groupBy(F.col("id").alias("__id")).count().where("count > 1").select("__id"), "mih-again")
+    again = stash(found.groupBy(F.col("id").alias("__id")).count().where("count > 1").select("__id"), "mih-again")
     if not again.limit(1).count():
         return left
     one = left.join(again, key == F.col("__id"), "left_semi").dropDuplicates([id_col])
