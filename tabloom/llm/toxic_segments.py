@@ -13,7 +13,7 @@ its own tokens; fold 0 is held out. Each labelled row teaches, copies too. At mo
 model keeps the ``max_tokens`` most significant tokens: both bound the model, not the documents scored.
 
 Defined results: null and empty texts have no segment and get the score of a text without evidence; without labels of
-both kinds every score is the share of toxic labels (0.5 without any); other columns pass through.
+both kinds every score is the share of toxic labels (0.5 without any), and ``reject_toxic`` keeps all documents; other columns pass through.
 """
 
 from __future__ import annotations
@@ -230,6 +230,25 @@ def score(
     return docs.withColumn(into, _reader(docs.sparkSession.sparkContext.broadcast(model), True)(F.col(text_col)))
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, **options) -> DataFrame:
-    """``docs`` without those whose score reaches ``threshold``."""
-    return score(docs, labels, into="__toxicity", **options).where(F.col("__toxicity.score") < threshold).select(*docs.columns)
+def reject_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    threshold: float = 0.5,
+    training: DataFrame | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    max_labelled: int = MAX_LABELLED,
+    max_tokens: int = MAX_TOKENS,
+) -> DataFrame:
+    """``docs`` without those whose score reaches ``threshold``. A model that has learned nothing (labels of one kind, none, or
+    no slope) tells no document from another: all stay."""
+    model = train(
+        docs if training is None else training,
+        labels, id_col=id_col, text_col=text_col, label_col=label_col, max_labelled=max_labelled, max_tokens=max_tokens,
+    )
+    if not model.get("slope"):
+        return docs
+    scored = docs.withColumn("__toxicity", _reader(docs.sparkSession.sparkContext.broadcast(model), True)(F.col(text_col)))
+    return scored.where(F.col("__toxicity.score") < threshold).select(*docs.columns)

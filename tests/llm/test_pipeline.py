@@ -47,6 +47,12 @@ def test_stages_do_what_they_say(spark, sf, odd_docs):
     assert all(stage(spark, empty, sf).count() == 0 for stage in stages.values())
 
 
+def test_nothing_learned_rejects_nothing(spark, odd_docs, odd_labels):
+    toxic = odd_labels.where("toxic = 1")
+    for labels in (odd_labels.limit(0), toxic):
+        assert toxic_segments.reject_toxic(odd_docs, labels).count() == odd_docs.count()
+
+
 def test_run(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert 0 < out.count() and {"doc_id", "bucket", "batch", "slot"} <= set(out.columns)
