@@ -118,6 +118,16 @@ def read_tokens(text: str, scores: dict[str, float]) -> tuple[int, list[tuple[in
     return len(tokens), [(k, scores[t]) for k, t in enumerate(tokens) if t in scores]
 
 
+def token_places(text: str) -> list[tuple[int, int]]:
+    """Start and end in ``text`` of each token of its lower-cased form, which can be longer."""
+    low = text.lower()
+    places = [w.span() for w in _WORD.finditer(low)]
+    if len(low) == len(text):
+        return places
+    origin = [k for k, c in enumerate(text) for _ in c.lower()]
+    return [(origin[a], origin[b - 1] + 1) for a, b in places]
+
+
 def evidence(n: int, segments: list[Segment], lam: float, ln_k: float) -> float:
     """Extreme-value evidence of a document of ``n`` tokens."""
     gain = [lam * s - ln_k - math.log(max(n, 1)) for _, _, s in segments]
@@ -154,9 +164,8 @@ def _reader(shared, detail: bool):
             p = 1 / (1 + math.exp(-min(max(m["slope"] * x + m["intercept"], -40), 40))) if "slope" in m else m["flat"]
             row = {"score": p, "evidence": x, "passages": []}
             if detail and segments:
-                # lower-casing can change lengths, so places are found in the text as it is
-                spans = [w.span() for w in _WORD.finditer(text)] if len(text) == len(text.lower()) else []
-                for first, last, s in segments if len(spans) == n else []:
+                spans = token_places(text)
+                for first, last, s in segments:
                     e = math.exp(min(m["ln_k"] + math.log(n) - m["lambda"] * s, 50))
                     if e < 1:
                         row["passages"].append({"start": spans[first][0], "end": spans[last][1], "score": s, "e_value": e})

@@ -87,6 +87,15 @@ def test_language_matches_plain_bayes(spark):
     assert [Counter(together[0][together[1] == k].tolist()) for k in range(4)] == own
 
 
+def test_passages_of_texts_that_grow_in_lower_case(spark):
+    model = {"scores": {"bad": 9.0, "worse": 9.0}, "lambda": 1.0, "ln_k": 0.0, "flat": 0.5}
+    read = toxic_segments._reader(spark.sparkContext.broadcast(model), True)
+    texts = ["a b BAD worse c", "\u0130zmir \u0130 BAD worse \u0130", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", read("t").alias("x")).orderBy("k").collect()
+    found = [[texts[r["k"]][p["start"] : p["end"]] for p in r["x"]["passages"]] for r in rows]
+    assert found == [["BAD worse"], ["BAD worse"], []]
+
+
 def plain_ctw(training, depth=ctw.DEPTH):
     """Recursive context-tree weighting by its definition: (node, context) -> counts, then products over the children."""
     counts = {}
