@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.llm import (
-    ctw, decontaminate, embedding_pca, language_nb, packing, pii_bootstrap, quality_rff, simhash_mih, toxic_segments, zip_warc,
+    conversation_repair, ctw, decontaminate, embedding_pca, language_nb, license_scan, packing, pii_bootstrap, quality_rff, ranked_search,
+    simhash_mih, toxic_segments, zip_warc,
 )
 from tabloom.llm.shared import fold
 
@@ -100,14 +102,68 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_maxscore_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    index = ranked_search.build_index(_table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, _table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses of every document."""
+    found = license_scan.scan(_table(spark, sf_dir, "documents"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
+def op13_conversation_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation."""
+    found = conversation_repair.damage_and_repair(_table(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rff, op2_packing_buckets, op3_embedding_pca, op4_pii_bootstrap, op5_toxic_segments, op6_simhash_mih,
-        op7_language_nb, op8_ctw_score, op9_decontaminate, op10_zip_warc,
+        op7_language_nb, op8_ctw_score, op9_decontaminate, op10_zip_warc, op11_maxscore_search, op12_license_diagonals, op13_conversation_dawg,
     )
 }
 
+def _license_sql() -> str:
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.text.lower())
+    table = ",\n  ".join(f"({k}, '{t.label}', {t.phrase}, {words(t)})" for k, t in enumerate(license_scan.TEMPLATES))
+    return rf"""
+WITH tpl(tpl, label, phrase, tw) AS (VALUES
+  {table}
+), sized AS (SELECT *, len(tw) - 2 AS places, greatest(1, least(8, (len(tw) - 2) // 8)) AS slack FROM tpl),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+grams AS (SELECT tpl, tpos, tw[tpos + 1] || ' ' || tw[tpos + 2] || ' ' || tw[tpos + 3] AS gram FROM (SELECT tpl, tw, unnest(range(places)) AS tpos FROM sized)),
+placed AS (SELECT r, pos, w[pos + 1] || ' ' || w[pos + 2] || ' ' || w[pos + 3] AS gram FROM (SELECT r, w, unnest(range(len(w) - 2)) AS pos FROM d WHERE len(w) > 2)),
+hit AS (SELECT r, tpl, pos - tpos AS diag, tpos FROM placed JOIN grams USING (gram)),
+vote AS (SELECT r, tpl, diag, count(*) AS v FROM hit GROUP BY ALL),
+edge AS (SELECT v.*, s.places, s.phrase, s.label, s.tw, diag - lag(diag, 1, -1000000000) OVER (PARTITION BY r, v.tpl ORDER BY diag) > slack AS new FROM vote v JOIN sized s USING (tpl)),
+region AS (SELECT *, sum(new::INT) OVER (PARTITION BY r, tpl ORDER BY diag) AS region FROM edge),
+together AS (SELECT r, tpl, region, count(DISTINCT tpos) AS u FROM hit JOIN region USING (r, tpl, diag) GROUP BY ALL),
+best AS (
+  SELECT r, tpl, region, places, phrase, label, max(v) AS best, max(diag) - min(diag) <= (places + 2) // 2 AS narrow, count(*) FILTER (v = places) AS n_full,
+    min(diag) FILTER (v = places) AS first_full, max(diag) FILTER (v = places) AS last_full FROM region GROUP BY r, tpl, region, places, phrase, label
+),
+span AS (SELECT *, CASE WHEN narrow THEN u ELSE best END AS matched FROM best JOIN together USING (r, tpl, region)),
+own AS (
+  SELECT r, sum(n_full) FILTER (phrase) AS n_base, min(first_full) FILTER (phrase) AS first_word, max(last_full) FILTER (phrase) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase AND n_full > 0) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (CASE WHEN phrase THEN n_full > 0 ELSE matched * {license_scan.SHARE[1]} >= places * {license_scan.SHARE[0]} END) AS labels,
+    max(CASE WHEN phrase THEN (n_full > 0)::INT::DOUBLE ELSE matched::DOUBLE / places END) AS score FROM span GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN own USING (r)
+"""
+
+
 SQL: dict[str, str] = {
     "op3_embedding_pca": """
 WITH RECURSIVE v AS (
@@ -159,4 +215,27 @@ SELECT page_id, n::BIGINT AS payload_bytes,
   CASE WHEN page_id <> first THEN first END AS refers_to
 FROM s
 """,
+    "op11_maxscore_search": r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS MATERIALIZED (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+qt AS (SELECT q, term, count(*)::BIGINT AS qtf FROM (SELECT q, unnest(w) AS term FROM b) GROUP BY ALL),
+tf AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM qt) GROUP BY ALL
+),
+df AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, c GROUP BY term, n_docs),
+impact AS (
+  SELECT r, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // total))) AS x FROM tf JOIN df USING (term), c
+),
+scored AS (SELECT q, r, doc_id, sum(x * qtf)::BIGINT AS score FROM qt JOIN impact USING (term) GROUP BY ALL HAVING sum(x * qtf) > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN b USING (q) WHERE rank <= 20
+""",
+    "op12_license_diagonals": _license_sql(),
 }
