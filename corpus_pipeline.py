@@ -23,8 +23,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
-    return simhash_mih.keep_one(docs)
+    """One document of each group of near copies: fingerprints of four-word shingles, linked at four or fewer differing bits."""
+    return simhash_mih.keep_one(docs, shingle=4, max_bits=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

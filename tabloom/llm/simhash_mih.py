@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.attach import attach
-from tabloom.llm import shingle_pairs
 from tabloom.llm.components import connected_components
 from tabloom.llm.shared import binaries, star_edges, stash
 
@@ -279,16 +278,22 @@ def near_duplicates(
     return out.select("id", F.array(*fps).alias("fp"), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the smallest id. Documents are linked if the exact Jaccard
-    similarity of their sets of five-word shingles is ``similarity`` or more (see ``shingle_pairs``). Rows without id stay; of
-    rows that repeat an id one stays."""
-    found = stash(shingle_pairs.copies(docs, id_col=id_col, text_col=text_col, shingle=5, similarity=similarity), "mih-copies")
+def keep_one(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4, segments: int = 3, block: int = BLOCK
+) -> DataFrame:
+    """``docs`` with one document of each group of ``near_duplicates``: the smallest id. Rows without id stay; of rows that repeat an
+    id one stays."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle=shingle, max_bits=max_bits, segments=segments, block=block)
+    found = stash(found.select("id", "component_id"), "mih-copies")
     key = F.col(id_col).cast("bigint")
-    gone = found.where("id <> component_id").select(F.col("id").alias("__id")).distinct()
-    left = docs.join(gone, key == F.col("__id"), "left_anti")
-    again = stash(found.groupBy(F.col("id").alias("__id")).count().where("count > 1").select("__id"), "mih-again")
+    # rows without id match nothing: a second key spreads them
+    spread = F.when(key.isNull(), F.xxhash64(text_col)).otherwise(F.lit(0).cast("bigint"))
+    met = lambda other: (key == other["__id"]) & (spread == other["__zero"])
+    ids = lambda df: df.select(F.col("id").alias("__id"), F.lit(0).cast("bigint").alias("__zero"))
+    gone = ids(found.where("id <> component_id")).distinct()
+    left = docs.join(gone, met(gone), "left_anti")
+    again = stash(ids(found.where("id is not null").groupBy("id").count().where("count > 1")), "mih-again")
     if not again.limit(1).count():
         return left
-    one = left.join(again, key == F.col("__id"), "left_semi").dropDuplicates([id_col])
-    return left.join(again, key == F.col("__id"), "left_anti").unionByName(one)
+    one = left.join(again, met(again), "left_semi").dropDuplicates([id_col])
+    return left.join(again, met(again), "left_anti").unionByName(one)

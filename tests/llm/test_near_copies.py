@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tabloom.llm import components, embedding_pca, shingle_pairs, simhash_mih
+from tabloom.llm import components, embedding_pca, simhash_mih
 
 
 def union(pairs, ids):
@@ -79,81 +79,23 @@ def test_simhash_defined_results(spark, odd_docs, no_docs, clashing):
     assert simhash_mih.keep_one(no_docs).count() == 0
 
 
-def test_keep_one_takes_near_copies_and_leaves_others(spark):
+def test_keep_one_leaves_the_smallest_of_each_component(spark):
+    """As by brute force over all fingerprints: copies, near copies in chains, documents that share a passage, rows that share an id."""
     rng = random.Random(9)
     words = ["w%d" % k for k in range(3000)]
-    clean = [rng.choices(words, k=300) for _ in range(30)]
+    texts = [rng.choices(words, k=300) for _ in range(40)]
     shared = rng.choices(words, k=60)
-    rows = [(k, " ".join(w)) for k, w in enumerate(clean)]
-    for k, w in enumerate(clean[:10]):  # a few words of each copy are changed: similarity about 0.93
-        copy = list(w)
-        for p in (50, 150):
-            copy[p] = "changed"
-        rows.append((100 + k, " ".join(copy)))
-    rows += [(200 + k, " ".join(shared + rng.choices(words, k=200))) for k in range(5)]  # a passage in common is no copy
-    left = {r["doc_id"] for r in simhash_mih.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert left == set(range(30)) | set(range(200, 205))
-
-
-def plain_jaccard(a, b, size=5):
-    x, y = ({tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for w in (a, b))
-    return len(x & y) / len(x | y)
-
-
-def test_keep_one_decides_by_exact_similarity(spark):
-    """300 pairs spread over 0.7 to 0.95: the copy goes if and only if brute force finds 0.8 or more."""
-    rng = random.Random(21)
-    words = ["w%d" % k for k in range(3000)]
-    rows, gone, near = [], set(), 0
-    for k in range(300):
-        a = rng.choices(words, k=300)
-        b, want = list(a), 0.7 + 0.25 * k / 300
-        while plain_jaccard(a, b) > want:
-            b[rng.randrange(300)] = rng.choice(words)
-        rows += [(k, " ".join(a)), (1000 + k, " ".join(b))]
-        s = plain_jaccard(a, b)
-        near += 0.76 < s < 0.84
-        if s >= 0.8:
-            gone.add(1000 + k)
-    assert near > 50 and 100 < len(gone) < 250
-    left = {r["doc_id"] for r in simhash_mih.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert left == {k for k, _ in rows} - gone
-
-
-@pytest.mark.parametrize("own", [42, 67])
-def test_keep_one_leaves_large_groups_below_the_limit(spark, own):
-    """400 documents around one long passage (similarity about 0.74 or 0.65) and one copy of each of the first 20."""
-    rng = random.Random(own)
-    words = ["w%d" % k for k in range(3000)]
-    shared = rng.choices(words, k=250)
-    texts = [shared + rng.choices(words, k=own) for _ in range(400)]
-    assert all(0.6 < plain_jaccard(texts[0], t) < 0.76 for t in texts[1:])
-    rows = [(k, " ".join(t)) for k, t in enumerate(texts)] + [(1000 + k, " ".join([*t, "tail"])) for k, t in enumerate(texts[:20])]
-    left = {r["doc_id"] for r in simhash_mih.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert left == set(range(400))
-
-
-def test_blocks_of_a_group_give_the_same_copies(spark):
-    """A group in many blocks: chains of copies, exact copies, an id with several texts."""
-    rng = random.Random(4)
-    words = ["w%d" % k for k in range(500)]
-    base = rng.choices(words, k=120)
-    texts = []
-    for k in range(60):
-        t = list(base)
-        for _ in range(rng.randrange(6)):
-            t[rng.randrange(120)] = rng.choice(words)
-        texts.append(t)
-        if k % 5 == 0:
-            base[rng.randrange(120)] = "z%d" % k
-    texts += texts[:5]
-    ids = [*range(62), 70, 70, 70]
-    pairs = [(ids[a], ids[b]) for a in range(65) for b in range(a) if plain_jaccard(texts[a], texts[b]) >= 0.8]
-    want = union(pairs, set(ids))
-    df = spark.createDataFrame([(i, " ".join(t)) for i, t in zip(ids, texts)], "doc_id bigint, text string")
-    for block in (1024, 7):
-        got = shingle_pairs.copies(df, block_docs=block).collect()
-        assert len(got) == 65 and {r["id"]: r["component_id"] for r in got} == want
+    texts += [shared + rng.choices(words, k=200) for _ in range(5)]  # a passage in common is no copy
+    for k in range(10):
+        copy = list(texts[k])
+        copy[50 + k] = "changed"
+        texts += [copy, list(copy), texts[k] + ["tail"]]
+    rows = [(k, " ".join(w)) for k, w in enumerate(texts)] + [(None, "no id"), (None, "no id"), (200, "a text under"), (200, "one id")]
+    fp = {k: plain_fingerprint(t) for k, t in rows[: len(texts)]}
+    want = union([(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4], fp)
+    left = [r["doc_id"] for r in simhash_mih.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    assert sorted(left, key=repr) == sorted([k for k in fp if want[k] == k] + [None, None, 200], key=repr)
+    assert set(range(45)) <= set(left) and len(fp) - len(set(want.values())) >= 20
 
 
 def vectors(spark, rows):

@@ -53,6 +53,18 @@ def test_nothing_learned_rejects_nothing(spark, odd_docs, odd_labels):
         assert toxic_segments.reject_toxic(odd_docs, labels).count() == odd_docs.count()
 
 
-def test_run(spark, sf):
+def test_decontamination_cuts_benchmark_passages(spark, sf):
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    clean = "word " * 300
+    docs = spark.createDataFrame([(1, clean), (2, clean + item + " " + clean), (3, item)], "doc_id bigint, text string")
+    left = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, sf).collect()}
+    assert set(left) == {1, 2} and left[1] == clean and item not in left[2] and left[2].count("word") == 600
+
+
+def test_run_is_the_stages_in_a_row(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf)
+    want = sorted((tuple(r) for r in docs.select("doc_id", "bucket", "batch", "slot").collect()), key=repr)
     out = corpus_pipeline.run(spark, sf)
-    assert 0 < out.count() and {"doc_id", "bucket", "batch", "slot"} <= set(out.columns)
+    assert want and sorted((tuple(r) for r in out.select("doc_id", "bucket", "batch", "slot").collect()), key=repr) == want
