@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tabloom.functions.order_stats import order_statistics
 from tabloom.functions.scalars import HASH_SPAN, key_hash, nan_to_null
+from tabloom.sources.csv_records import csv_records
 
 # Tokens a CSV reader takes as missing.
 NA_TOKENS = (
@@ -32,13 +33,18 @@ def read_csv(
 ) -> DataFrame:
     """CSV with header; missing tokens become null; a missing path is FileNotFoundError.
 
-    Quoted line breaks belong to their cell. That makes a file the unit of reading; ``multiline=False`` lets large files
-    without such breaks be split.
+    Quoted line breaks belong to their cell, and a file is still read by as many tasks as it has splits (see ``csv_records``).
+    ``multiline=False`` skips the pass that tells where records start, for inputs without such breaks.
 
     Pass ``schema`` on large inputs: inference costs one extra scan of the text.
     """
     try:
         raw = spark.read.csv(path, header=True, multiLine=multiline, escape='"', nullValue="")
+        if multiline and raw.columns:
+            names = [*raw.columns[:-1], raw.columns[-1].removesuffix("\r")]
+            ddl = T.StructType([T.StructField(c, T.StringType()) for c in names])
+            how = {"escape": '"', "nullValue": "", "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+            raw = csv_records(spark, path).select(F.from_csv("record", ddl.toDDL(), how).alias("r")).select("r.*")
         text = raw.select(
             *[F.when(~F.trim(F.col(f"`{c}`")).isin(*NA_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
         )
