@@ -7,6 +7,7 @@ label's spread.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -29,7 +30,8 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.transformers import ExtraTrees, RbfSvm
+from tabloom.operators.transformers import RbfSvm
+from tabloom.operators.trees import Forest, LeafwiseBoosting
 
 LABEL, FEATURES, SEED = "label", "features", 42
 BOOST_MIN_ROWS, BOOST_MIN_FEATURES = 1000, 10
@@ -108,10 +110,25 @@ def _depth(p: Mapping, default: int) -> int:
     return MLLIB_MAX_DEPTH if d is None else min(int(d), MLLIB_MAX_DEPTH)
 
 
+def binding(p: Mapping) -> bool:
+    """Whether ``min_samples_split`` forbids a split that the rows per leaf allow; the library's trees know only the latter."""
+    return int(p.get("min_samples_split", 2)) > 2 * int(p.get("min_samples_leaf", 1))
+
+
+def _grown(p: Mapping, problem: str, s: Shape, trees: int, depth: int, subset: str, splitter: str, bootstrap: bool = False) -> Estimator:
+    return Forest(
+        numTrees=int(p.get("n_estimators", trees)), maxDepth=_depth(p, depth), minSamplesSplit=int(p.get("min_samples_split", 2)),
+        minSamplesLeaf=int(p.get("min_samples_leaf", 1)), maxFeatures=subset, splitter=splitter, bootstrap=bootstrap, problem=problem,
+        suffix=s.suffix, seed=SEED,
+    )
+
+
 def _forest(problem: str) -> Builder:
     def build(s: Shape, p: Mapping) -> Estimator:
-        cls = RandomForestClassifier if problem == "classification" else RandomForestRegressor
         subset = p.get("max_features", "sqrt" if problem == "classification" else "all")
+        if binding(p):
+            return _grown(p, problem, s, 100, 10, subset, "best", bootstrap=True)
+        cls = RandomForestClassifier if problem == "classification" else RandomForestRegressor
         est = cls(
             numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p, 10), minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             featureSubsetStrategy=subset, seed=SEED,
@@ -123,10 +140,8 @@ def _forest(problem: str) -> Builder:
 
 def _extra(problem: str) -> Builder:
     def build(s: Shape, p: Mapping) -> Estimator:
-        return ExtraTrees(
-            numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p, 10), minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
-            batches=int(p.get("batches", 5)), problem=problem, suffix=s.suffix, seed=SEED,
-        )
+        subset = p.get("max_features", "sqrt" if problem == "classification" else "all")
+        return _grown(p, problem, s, 100, 10, subset, "random")
 
     return build
 
@@ -152,8 +167,22 @@ def _gbt(problem: str, defaults: Mapping) -> Builder:
     return build
 
 
+def _leafwise(problem: str) -> Builder:
+    def build(s: Shape, p: Mapping) -> Estimator:
+        q = {**_XGB, **p}
+        settings = {
+            "rounds": int(q["n_estimators"]), "rate": float(q["learning_rate"]), "max_depth": _depth(q, 6), "subsample": float(q["subsample"]),
+            "colsample": float(q["colsample"]), "leaves": int(q.get("num_leaves", 31)), "min_samples_leaf": int(q.get("min_child_samples", 20)),
+        }
+        return LeafwiseBoosting(settings=json.dumps(settings), problem=problem, suffix=s.suffix, seed=SEED)
+
+    return build
+
+
 def _tree(problem: str) -> Builder:
     def build(s: Shape, p: Mapping) -> Estimator:
+        if binding(p):
+            return _grown({**p, "n_estimators": 1}, problem, s, 1, MLLIB_MAX_DEPTH, "all", "best")
         cls = DecisionTreeClassifier if problem == "classification" else DecisionTreeRegressor
         est = cls(maxDepth=_depth(p, MLLIB_MAX_DEPTH), minInstancesPerNode=int(p.get("min_samples_leaf", 1)), seed=SEED)
         return _out(est, s, problem == "classification")
@@ -208,7 +237,7 @@ for _spec in (
     ModelSpec("extra_trees", "non_linear", "tree", _extra(C), tuning="extra_trees"),
     ModelSpec("svm", "non_linear", "svm", _svm(C), tuning=None),
     ModelSpec("xgboost", "non_linear", "tree", _gbt(C, _XGB), tuning="gradient_boosting"),
-    ModelSpec("lightgbm", "non_linear", "tree", _gbt(C, _XGB), tuning="gradient_boosting"),
+    ModelSpec("lightgbm", "non_linear", "tree", _leafwise(C), tuning="gradient_boosting"),
     ModelSpec("decision_tree", "non_linear", "tree", _tree(C), tuning="decision_tree"),
     ModelSpec("gradient_boosting", "non_linear", "tree", _gbt(C, _GB), tuning="gradient_boosting"),
     ModelSpec("gaussian_nb", "non_linear", "bayes", _naive_bayes, tuning="gaussian_nb"),
@@ -226,7 +255,7 @@ for _spec in (
     ModelSpec("extra_trees", "non_linear", "tree", _extra(R), tuning="random_forest"),
     ModelSpec("svm", "non_linear", "svm", _svm(R)),
     ModelSpec("xgboost", "non_linear", "tree", _gbt(R, _XGB), tuning="gradient_boosting"),
-    ModelSpec("lightgbm", "non_linear", "tree", _gbt(R, _XGB), tuning="gradient_boosting"),
+    ModelSpec("lightgbm", "non_linear", "tree", _leafwise(R), tuning="gradient_boosting"),
     ModelSpec("decision_tree", "non_linear", "tree", _tree(R), tuning="decision_tree"),
     ModelSpec("gradient_boosting", "non_linear", "tree", _gbt(R, _GB), tuning="gradient_boosting"),
 ):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Callable
 
@@ -16,15 +15,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasInputCol, HasInputCols, HasLabelCol, HasOutputCol, HasSeed
 from pyspark.ml.pipeline import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.session import together
-
 Columns = Callable[[Column], Column]
 FUNCTIONS: dict[str, Columns] = {
     "log": lambda c: F.when(c > 0, F.ln(c)),
@@ -105,105 +101,20 @@ def mean_probability(df: DataFrame, vectors: list[str], out: str, label: str) ->
     ).drop("_mean")
 
 
-class RandomBins(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Replaces each vector entry by the number of its cut points not above it."""
-
-    cuts = Param(Params._dummy(), "cuts", "cut points per entry, JSON", TypeConverters.toString)
-
-    @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None, cuts=None):
-        super().__init__()
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        edges = ", ".join(f"array({', '.join(f'{e!r}d' for e in edge)})" for edge in json.loads(self.getOrDefault("cuts")))
-        cuts = F.expr(f"cast(array({edges}) as array<array<double>>)")
-        bins = F.zip_with(
-            vector_to_array(self.getInputCol()), cuts, lambda v, c: F.size(F.filter(c, lambda e: e <= v)).cast("double")
-        )
-        return df.withColumn(self.getOutputCol(), array_to_vector(bins))
-
-
-class ExtraTrees(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
-    """Extremely randomised trees from library forests.
-
-    Thresholds are drawn uniformly over each feature's range instead of being searched:
-    every batch of trees sees its own few random cut points, and the forest may split
-    only there.  No bootstrap; a random feature subset per node; scores are averaged.
-    """
-
-    numTrees = Param(Params._dummy(), "numTrees", "number of trees", TypeConverters.toInt)
-    maxDepth = Param(Params._dummy(), "maxDepth", "maximum depth", TypeConverters.toInt)
-    minInstancesPerNode = Param(Params._dummy(), "minInstancesPerNode", "rows per leaf", TypeConverters.toInt)
-    batches = Param(Params._dummy(), "batches", "groups of trees with their own cut points", TypeConverters.toInt)
-    cutPoints = Param(Params._dummy(), "cutPoints", "random cut points per feature", TypeConverters.toInt)
-    problem = Param(Params._dummy(), "problem", "classification or regression", TypeConverters.toString)
-    suffix = Param(Params._dummy(), "suffix", "suffix of output columns", TypeConverters.toString)
-
-    @keyword_only
-    def __init__(
-        self, *, featuresCol="features", labelCol="label", numTrees=100, maxDepth=10, minInstancesPerNode=1, batches=5,
-        cutPoints=12, problem="classification", suffix="", seed=42,
-    ):
-        super().__init__()
-        self._setDefault(
-            numTrees=100, maxDepth=10, minInstancesPerNode=1, batches=5, cutPoints=12, problem="classification", suffix="", seed=42
-        )
-        self._set(**self._input_kwargs)
-
-    def _fit(self, df: DataFrame) -> PipelineModel:
-        x, sfx = self.getFeaturesCol(), self.getOrDefault("suffix")
-        ends = df.select(Summarizer.metrics("min", "max").summary(F.col(x)).alias("s")).select("s.min", "s.max").first()
-        low, high = ends[0].toArray(), ends[1].toArray()
-        classify = self.getOrDefault("problem") == "classification"
-        n_batches = max(1, min(self.getOrDefault("batches"), self.getOrDefault("numTrees")))
-        share, extra = divmod(self.getOrDefault("numTrees"), n_batches)
-
-        def batch(b: int) -> list[Transformer]:
-            rng = np.random.default_rng([self.getSeed(), b])
-            draws = rng.uniform(size=(len(low), self.getOrDefault("cutPoints")))
-            cuts = [sorted((lo + (hi - lo) * u).tolist()) if hi > lo else [] for lo, hi, u in zip(low, high, draws)]
-            bins = RandomBins(inputCol=x, outputCol=f"_bins{b}{sfx}", cuts=json.dumps(cuts))
-            forest = (RandomForestClassifier if classify else RandomForestRegressor)(
-                featuresCol=f"_bins{b}{sfx}", labelCol=self.getLabelCol(), numTrees=share + (b < extra),
-                maxDepth=self.getOrDefault("maxDepth"), minInstancesPerNode=self.getOrDefault("minInstancesPerNode"),
-                maxBins=max(self.getOrDefault("cutPoints") + 1, 2), bootstrap=False, subsamplingRate=1.0,
-                featureSubsetStrategy="sqrt" if classify else "all", seed=self.getSeed() + b,
-                predictionCol=f"_pred{b}{sfx}",
-            )
-            if classify:
-                forest.setProbabilityCol(f"_prob{b}{sfx}").setRawPredictionCol(f"_raw{b}{sfx}")
-            return [bins, forest.fit(bins.transform(df))]
-
-        parts = together(*[lambda b=b: batch(b) for b in range(n_batches)])
-        stages = [s for p in parts for s in p]
-        if classify:
-            combine = ScoreCombiner(
-                inputCols=[f"_prob{b}{sfx}" for b in range(n_batches)], outputCol=f"probability{sfx}", op="mean_probability",
-                labelOut=f"prediction{sfx}",
-            )
-        else:
-            combine = ScoreCombiner(inputCols=[f"_pred{b}{sfx}" for b in range(n_batches)], outputCol=f"prediction{sfx}", op="mean")
-        return PipelineModel([*stages, combine])
-
-
-def forest_parts(model: PipelineModel) -> list[tuple[RandomBins | None, object]]:
-    """(binning, forest model) pairs inside a fitted pipeline."""
-    out, pending = [], None
+def forests_of(model: PipelineModel) -> list:
+    """The forest models inside a fitted pipeline."""
+    out = []
     for s in model.stages:
         if isinstance(s, PipelineModel):
-            out += forest_parts(s)
-        elif isinstance(s, RandomBins):
-            pending = s
+            out += forests_of(s)
         elif hasattr(s, "featureImportances"):
-            out.append((pending, s))
-            pending = None
+            out.append(s)
     return out
 
 
 def importances(model: PipelineModel) -> np.ndarray:
     """Mean feature importance over the forests of a fitted pipeline."""
-    return np.mean([m.featureImportances.toArray() for _b, m in forest_parts(model)], axis=0)
+    return np.mean([m.featureImportances.toArray() for m in forests_of(model)], axis=0)
 
 
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):

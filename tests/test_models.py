@@ -37,7 +37,7 @@ def test_ridge_and_lasso_follow_the_usual_objectives(data):
 
 def test_shap_adds_up(data):
     df, _x, _y = data
-    m = models.fit(models.get("extra_trees"), df, NAMES, {"n_estimators": 6, "batches": 2, "max_depth": 5})
+    m = models.fit(models.get("extra_trees"), df, NAMES, {"n_estimators": 6, "max_depth": 5})
     scored = cv.score_column(m.transform(df))
     phi = shap_values(scored, m, "features", 3, ["id"])
     gap = scored.join(phi, "id").select(F.max(F.abs(F.col("score") - F.col("base") - F.aggregate("phi", F.lit(0.0), lambda s, v: s + v))))
@@ -87,7 +87,7 @@ def test_pool_rules():
 
 def test_store_round_trip(spark, data, tmp_path):
     df, _x, _y = data
-    m = models.fit(models.get("extra_trees"), df, NAMES, {"n_estimators": 4, "batches": 2, "max_depth": 3})
+    m = models.fit(models.get("extra_trees"), df, NAMES, {"n_estimators": 4, "max_depth": 3})
     a = store.save_model(spark, str(tmp_path), "m", m, {"accuracy": 0.95}, NAMES)
     assert a != store.save_model(spark, str(tmp_path), "m", m, {"accuracy": 0.95}, NAMES)
     want = m.transform(df).select("id", "prediction").orderBy("id").collect()
