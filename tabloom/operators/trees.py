@@ -405,6 +405,11 @@ def _slopes(trees: list[tuple[np.ndarray, ...]], how: Boosting, base: float, log
     return stats
 
 
+def first_slopes(start: float, how: Boosting) -> Stats:
+    """Slopes of the logistic loss at the start margin."""
+    return _slopes([], how, start, True, 0)
+
+
 def leafwise_tree(rows: DataFrame, size: int, stats: Stats, edges: list[np.ndarray], features: np.ndarray, how: Boosting) -> Tree:
     """One tree of at most ``leaves`` leaves, best gains first. Levels are counted whole, siblings by subtraction."""
     full = Tree()

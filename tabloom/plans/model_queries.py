@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.operators import cv, ensemble, knn, metrics, models, selectors, tune
+from tabloom.operators import cv, ensemble, knn, metrics, models, selectors, trees, tune
 from tabloom.operators.transformers import majority, mean_of
 from tabloom.plans import search
 from tabloom.plans.frames import DOC_FEATURES, DOCS_SQL, LINES_SQL, doc_features, docs_frame, lines_frame, raw_doc_features, table
@@ -150,6 +152,85 @@ def impute_knn(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", F.round(F.col("quality").cast("double"), 6).alias("quality"))
 
 
+# ---- single trees, split by split ------------------------------------------------------------------
+
+_TREE = ("l_quantity", "l_discount", "l_tax")
+
+
+def _level_sql(source: str, out: str, least: int, weight: str = "1.0", mean: str = "0.0") -> str:
+    """CTE ``out``: the best split (f, cut, gain, n) of every node of ``source`` (node, y and the features)."""
+    score = lambda n, s: f"pow({s} - {n} * {mean}, 2) / ({n} * {weight})"
+    place = " ".join(f"WHEN '{c}' THEN {k}" for k, c in enumerate(_TREE))
+    return f"""{out}_v AS (SELECT node, f, v, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS s FROM (UNPIVOT {source} ON {", ".join(_TREE)} INTO NAME f VALUE v) GROUP BY node, f, v),
+    {out}_c AS (SELECT node, f, v, sum(n) OVER (PARTITION BY node, f ORDER BY v) AS nl, sum(s) OVER (PARTITION BY node, f ORDER BY v) AS sl,
+      sum(n) OVER (PARTITION BY node, f) AS n, sum(s) OVER (PARTITION BY node, f) AS s FROM {out}_v),
+    {out}_g AS (SELECT node, f, v AS cut, n, {score("nl", "sl")} + {score("(n - nl)", "(s - sl)")} - {score("n", "s")} AS gain
+      FROM {out}_c WHERE nl >= {least} AND n - nl >= {least}),
+    {out} AS (SELECT node, f, cut, gain, n FROM {out}_g QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, CASE f {place} END, cut) = 1)"""
+
+
+def _down_sql(source: str, splits: str, out: str) -> str:
+    value = " ".join(f"WHEN '{c}' THEN {c}" for c in _TREE)
+    return f"""{out} AS (SELECT s.node || CASE WHEN CASE p.f {value} END <= p.cut THEN 'L' ELSE 'R' END AS node, y, {", ".join(_TREE)}
+      FROM {source} s JOIN {splits} p ON s.node = p.node)"""
+
+
+def _tree_rows(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+
+    lines = lines_frame(spark, sf).select(*_TREE, F.col("label").cast("double").alias("label"))
+    return keep(trees.training_rows(VectorAssembler(inputCols=list(_TREE), outputCol="features").transform(lines), "features", "label"))
+
+
+def _splits(spark: SparkSession, tree: trees.Tree) -> DataFrame:
+    rows, stack = [], [(0, "")]
+    while stack:
+        node, path = stack.pop()
+        if tree.feature[node] >= 0:
+            rows.append((path, _TREE[tree.feature[node]], tree.threshold[node], int(tree.weight[node]), round(tree.gain[node], 5)))
+            stack += [(tree.left[node], path + "L"), (tree.right[node], path + "R")]
+    return spark.createDataFrame(rows, "node string, feature string, threshold double, n long, gain double")
+
+
+_ROOT_SQL = f"r0 AS (SELECT '' AS node, label AS y, {', '.join(_TREE)} FROM ({LINES_SQL}))"
+_SPLIT_COLUMNS = "node, f AS feature, cut AS threshold, n::BIGINT AS n, round(gain, 5) AS gain"
+
+
+@query(
+    "tree_splits",
+    sql=f"""WITH {_ROOT_SQL}, {_level_sql("r0", "b0", 40)}, {_down_sql("r0", "b0", "r1")}, {_level_sql("r1", "b1", 40)}
+    SELECT {_SPLIT_COLUMNS} FROM b0 UNION ALL SELECT {_SPLIT_COLUMNS} FROM b1 WHERE n >= 100""",
+)
+def tree_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """A decision tree of depth 2 over all order lines: every split with its rows and gain."""
+    rows = _tree_rows(spark, sf)
+    how = trees.Growth(n_trees=1, max_depth=2, min_samples_split=100, min_samples_leaf=40, max_features="all", splitter="best")
+    return _splits(spark, trees.grow(rows, len(_TREE), how)[0])
+
+
+_SLOPES = {"least": 20, "weight": "(SELECT avg(y) * (1 - avg(y)) FROM r0)", "mean": "(SELECT avg(y) FROM r0)"}
+
+
+@query(
+    "gbt_leafwise_splits",
+    sql=f"""WITH {_ROOT_SQL}, {_level_sql("r0", "b0", **_SLOPES)}, {_down_sql("r0", "b0", "r1")}, {_level_sql("r1", "b1", **_SLOPES)},
+    {_down_sql("r1", "b1", "r2")}, {_level_sql("r2", "b2", **_SLOPES)},
+    second AS (SELECT * FROM b1 ORDER BY gain DESC LIMIT 1),
+    third AS (SELECT * FROM (SELECT * FROM b1 WHERE node NOT IN (SELECT node FROM second) UNION ALL SELECT * FROM b2 WHERE node[1] IN (SELECT node FROM second))
+      ORDER BY gain DESC LIMIT 1)
+    SELECT {_SPLIT_COLUMNS} FROM b0 UNION ALL SELECT {_SPLIT_COLUMNS} FROM second UNION ALL SELECT {_SPLIT_COLUMNS} FROM third""",
+)
+def gbt_leafwise_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The first boosted tree over all order lines with four leaves, best gains first: every split with its rows and gain."""
+    rows = _tree_rows(spark, sf)
+    how = trees.Boosting(leaves=4, subsample=1.0, colsample=1.0)
+    mean = rows.agg(F.avg("y")).first()[0]
+    start = math.log(mean / (1 - mean))
+    stats = trees.first_slopes(start, how)
+    tree = trees.leafwise_tree(rows, len(_TREE), stats, trees.feature_edges(rows, len(_TREE)), np.arange(len(_TREE)), how)
+    return _splits(spark, tree)
+
+
 # ---- model-based selection ------------------------------------------------------------------------
 
 
