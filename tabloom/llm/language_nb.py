@@ -35,15 +35,22 @@ def letters() -> np.ndarray:
     return _LETTERS[0]
 
 
-def gram_buckets(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, index of its text) of all 1- to 3-grams that hold a letter."""
+def gram_buckets(texts: list[str], bits: int, skip: list[int] | None = None, more: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, index of its text) of all 1- to 3-grams that hold a letter. The first ``skip`` characters of a piece are those before
+    it, and no end of text follows a piece with ``more``: only grams that end between count."""
     lowered = [t.lower() for t in texts]
+    sizes = np.array([len(t) + 1 for t in lowered], np.int64)
+    counts = np.ones(sizes.sum() + 1, bool)
+    ends = np.cumsum(sizes)
+    for k, (n, m) in enumerate(zip(skip or [0] * len(texts), more or [False] * len(texts))):
+        counts[ends[k] - sizes[k] + 1 : ends[k] - sizes[k] + 1 + n] = False
+        counts[ends[k]] = not m  # (kept or not, an end that does not count is in no gram)
     code = np.frombuffer("".join(["\n", *(t + "\n" for t in lowered)]).encode("utf-32-le", "replace"), np.uint32)
-    owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lowered])
+    owner = np.repeat(np.arange(len(texts)), sizes)
     owner = np.concatenate([[-1], owner])[: len(code)]  # the leading separator belongs to no text
     is_letter = letters()[code]
-    keep = is_letter | np.concatenate([[True], is_letter[:-1]])  # the first of a run of other characters stays
-    code, owner, is_letter = np.where(is_letter, code, 32)[keep].astype(np.uint64), owner[keep], is_letter[keep]
+    keep = is_letter | np.concatenate([[True], is_letter[:-1]]) | ~counts  # the first of a run of other characters stays
+    code, owner, is_letter, counts = np.where(is_letter, code, 32)[keep].astype(np.uint64), owner[keep], is_letter[keep], counts[keep]
     out, who = [], []
     h = np.zeros(len(code), np.uint64)
     mask = np.zeros(len(code), bool)
@@ -53,26 +60,36 @@ def gram_buckets(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
         h = (h[: len(code) - n + 1] * np.uint64(0x100000001B3)) ^ code[n - 1 :]
         mask = mask[: len(code) - n + 1] | is_letter[n - 1 :]
         own = owner[: len(code) - n + 1]
-        whole = mask & (own == owner[n - 1 :]) & (own >= 0)
+        whole = mask & (own == owner[n - 1 :]) & (own >= 0) & counts[n - 1 :]
         mixed = (h[whole] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
         out.append((mixed >> np.uint64(64 - bits)).astype(np.int64))
         who.append(own[whole])
     return (np.concatenate(out), np.concatenate(who)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
-    """Bounded groups of texts with their indexes; a text beyond ``PIECE`` is cut at a non-letter where there is one."""
-    parts, index = [], []
+def _before(text: str, cut: int) -> str:
+    """The last two characters before ``cut`` that grams see: letters, and the first of each run of others."""
+    out, at = "", cut
+    while at > 0 and len(out) < 2:
+        at -= 1
+        if text[at].isalpha():
+            out = text[at] + out
+        elif at and text[at - 1].isalpha():
+            out = " " + out
+    return out
+
+
+def pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str], list[int], list[bool]]]:
+    """Bounded groups of texts with their indexes; a text beyond ``PIECE`` is cut, and each piece carries the two characters
+    before it, so that no gram is lost or counted twice."""
+    parts: list[tuple[int, str, int, bool]] = []
     for k, t in enumerate(texts):
-        while len(t) > PIECE:
-            cut = PIECE
-            while cut > PIECE - 1000 and t[cut - 1].isalpha():
-                cut -= 1
-            parts.append(t[:cut]), index.append(k)
-            t = t[cut:]
-        parts.append(t), index.append(k)
-    for s, e in batches_of(map(len, parts), PIECE):
-        yield index[s:e], parts[s:e]
+        low = t.lower() if len(t) > PIECE else t
+        for at in range(0, max(len(low), 1), PIECE):
+            before = _before(low, at) if at else ""
+            parts.append((k, before + low[at : at + PIECE], len(before), at + PIECE < len(low)))
+    for s, e in batches_of([len(p[1]) for p in parts], PIECE):
+        yield tuple(list(x) for x in zip(*parts[s:e]))
 
 
 def train(docs: DataFrame, text: Column, lang: Column, bits: int = BITS) -> tuple[list[str], np.ndarray]:
@@ -88,8 +105,8 @@ def train(docs: DataFrame, text: Column, lang: Column, bits: int = BITS) -> tupl
                 own = [texts[k] or "" for k in np.flatnonzero(langs == name)]
                 docs_of[name] = docs_of.get(name, 0) + len(own)
                 grams = total.setdefault(name, np.zeros(1 << bits, np.int64))
-                for _, part in pieces(own):
-                    grams += np.bincount(gram_buckets(part, bits)[0], minlength=1 << bits)
+                for _, *part in pieces(own):
+                    grams += np.bincount(gram_buckets(part[0], bits, *part[1:])[0], minlength=1 << bits)
         for name, grams in total.items():
             at = np.flatnonzero(grams)
             at, n = np.append(at, 1 << bits), np.append(grams[at], docs_of[name])
@@ -118,8 +135,8 @@ def predict_column(spark, names: list[str], table: np.ndarray, text: Column, bit
         langs, logs = shared.value
         texts = [t or "" for t in column.to_pylist()]
         total, grams = np.zeros((len(texts), len(langs))), np.zeros(len(texts), np.int64)
-        for index, part in pieces(texts) if langs else ():
-            bucket, who = gram_buckets(part, bits)
+        for index, part, *ends in pieces(texts) if langs else ():
+            bucket, who = gram_buckets(part, bits, *ends)
             n = np.bincount(who, minlength=len(part))
             np.add.at(grams, index, n)
             for c in range(len(langs)):

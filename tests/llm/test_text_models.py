@@ -193,3 +193,18 @@ def test_defined_results(spark, odd_docs, odd_labels, no_docs, clashing):
         toxic_segments.score(no_docs, odd_labels), quality_rff.score(no_docs, odd_labels), language_nb.identify(no_docs, no_docs), ctw.score(no_docs, F.lit(True)),
     ):
         assert empty.count() == 0
+
+
+def test_grams_of_cut_texts(monkeypatch):
+    """Pieces of any size give the grams of the whole text, across letters, blanks and runs of both."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abÄσΣ  .1\n", k=n)) for n in (0, 1, 5, 60, 200)] + ["a" * 70, " " * 70 + "x", "x" + "-" * 90]
+    whole = [Counter(language_nb.gram_buckets([t.lower()], 16)[0].tolist()) for t in texts]
+    for size in (1, 2, 3, 7, 64):
+        monkeypatch.setattr(language_nb, "PIECE", size)
+        got = [Counter() for _ in texts]
+        for index, *part in language_nb.pieces(texts):
+            bucket, who = language_nb.gram_buckets(part[0], 16, *part[1:])
+            for b, w in zip(bucket.tolist(), who.tolist()):
+                got[index[w]][b] += 1
+        assert got == whole
