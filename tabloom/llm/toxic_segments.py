@@ -9,8 +9,8 @@ lambda * S - ln(K n) over its significant segments (of the best one if none is),
 the calibration fold turns it into a probability.
 
 Log-odds are learned from the training rows of folds 1 to 3, the calibration from fold 4, so that no document calibrates
-its own tokens; fold 0 is held out. Each labelled row teaches, copies too. At most about ``max_labelled`` labelled rows are used, and the
-model keeps the ``max_tokens`` most significant tokens: both bound the model, not the documents scored.
+its own tokens; fold 0 is held out. Each labelled row teaches, copies too. At most about ``max_labelled`` labelled rows are used.
+The model holds every significant token of these rows: significance takes several rows, so their number bounds it at any corpus size.
 
 Defined results: null and empty texts have no segment and get the score of a text without evidence; without labels of
 both kinds every score is the share of toxic labels (0.5 without any), and ``reject_toxic`` keeps all documents; other columns pass through.
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from tabloom.llm.shared import fold, stash, training_labels
 
 MAX_LABELLED = 200_000
-MAX_TOKENS = 50_000
 Z = 3.0
 DRIFT = 0.5
 PRIOR = 0.5
@@ -88,13 +87,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def log_odds(counts: DataFrame, max_tokens: int) -> tuple[dict[str, float], float]:
+def log_odds(counts: DataFrame) -> tuple[dict[str, float], float]:
     """(score of each significant token, share of clean tokens without a score)."""
     n_t, n_c = (float(v or 0) for v in counts.agg(F.sum("toxic"), F.sum("clean")).first())
     t, c = F.col("toxic") + PRIOR, F.col("clean") + PRIOR
     delta = F.log(t / (n_t + 1 - t + PRIOR)) - F.log(c / (n_c + 1 - c + PRIOR))
     scored = counts.withColumn("delta", delta).withColumn("z", F.abs("delta") / F.sqrt(1 / t + 1 / c)).where(F.col("z") >= Z)
-    rows = scored.orderBy(F.col("z").desc(), "token").limit(max_tokens).select("token", "delta", "clean").collect()
+    rows = scored.select("token", "delta", "clean").orderBy("token").collect()
     return {r["token"]: (r["delta"], (r["clean"] + PRIOR) / (n_c + 1)) for r in rows}
 
 
@@ -189,7 +188,7 @@ def _best(shared):
     return F.arrow_udf(best, "struct<n:bigint,best:double>").asNondeterministic()
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, max_labelled: int, max_tokens: int) -> dict:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, max_labelled: int) -> dict:
     """The model: token scores, lambda, ln K, slope and intercept; ``flat`` alone if there is nothing to learn from."""
     spark = docs.sparkSession
     known = training_labels(labels, id_col, label_col, max_labelled)
@@ -200,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, lab
         return model
     counts = rows.where(fold(F.col("_id")) != 4).select("text", "_label").mapInArrow(_count, "token string, toxic bigint, clean bigint")
     counts = stash(counts.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "tox-counts")
-    table = log_odds(counts, max_tokens)
+    table = log_odds(counts)
     values = np.array(list(table.values()), dtype=float).reshape(-1, 2)
     model["scores"] = {w: s for w, (s, _) in table.items()}
     model["lambda"] = karlin_lambda(values[:, 0], values[:, 1], DRIFT)
@@ -228,13 +227,12 @@ def score(
     text_col: str = "text",
     label_col: str = "toxic",
     max_labelled: int = MAX_LABELLED,
-    max_tokens: int = MAX_TOKENS,
     into: str = "toxicity",
 ) -> DataFrame:
     """``docs`` with a struct column ``into``: score, evidence and significant passages (character places)."""
     model = train(
         docs if training is None else training,
-        labels, id_col=id_col, text_col=text_col, label_col=label_col, max_labelled=max_labelled, max_tokens=max_tokens,
+        labels, id_col=id_col, text_col=text_col, label_col=label_col, max_labelled=max_labelled,
     )
     return docs.withColumn(into, _reader(docs.sparkSession.sparkContext.broadcast(model), True)(F.col(text_col)))
 
@@ -249,13 +247,12 @@ def reject_toxic(
     text_col: str = "text",
     label_col: str = "toxic",
     max_labelled: int = MAX_LABELLED,
-    max_tokens: int = MAX_TOKENS,
 ) -> DataFrame:
     """``docs`` without those whose score reaches ``threshold``. A model that has learned nothing (labels of one kind, none, or
     no slope) tells no document from another: all stay."""
     model = train(
         docs if training is None else training,
-        labels, id_col=id_col, text_col=text_col, label_col=label_col, max_labelled=max_labelled, max_tokens=max_tokens,
+        labels, id_col=id_col, text_col=text_col, label_col=label_col, max_labelled=max_labelled,
     )
     if not model.get("slope"):
         return docs
