@@ -16,6 +16,8 @@ instance; an empty table gives an empty one; other columns pass through.
 
 from __future__ import annotations
 
+import bisect
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -38,8 +40,9 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_LOOSE = re.compile(r"\(?[0-9][0-9\x20().-]{5,40}[0-9]")
-_LOOSE_MAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,64}")
+_LOOSE = re.compile(r"\(?[0-9][0-9\x20().-]{5,}[0-9]")
+_LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9-]+")
+_WORD = re.compile(r"\S+")
 _HINT = re.compile(r"[0-9@]")
 
 Span = tuple[str, int, int]
@@ -54,14 +57,14 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
-def _emails(text: str) -> Iterator[Span]:
+def _emails(text: str, domains: re.Pattern = _DOMAIN) -> Iterator[Span]:
     """Leftmost matches: a run of local characters directly before an ``@`` starts one, so each ``@`` is tried once."""
     done, at = 0, text.find("@")
     while at >= 0:
         start = at
         while start > done and text[start - 1] in _LOCAL:
             start -= 1
-        if start < at and (domain := _DOMAIN.match(text, at + 1)):
+        if start < at and (domain := domains.match(text, at + 1)):
             done = domain.end()
             yield "email", start, done
         at = text.find("@", max(at + 1, done))
@@ -94,7 +97,7 @@ def candidates(text: str, base: list[Span]) -> list[Span]:
     if not _HINT.search(text):
         return []
     found: list[Span] = [("ip", s, e) for s, e, _ in _dotted(text)]
-    found += [("email", *m.span()) for m in _LOOSE_MAIL.finditer(text)] if "@" in text else []
+    found += _emails(text, _LOOSE_DOMAIN)
     for m in _LOOSE.finditer(text):
         n = len(_digits(m[0]))
         if 12 <= n <= 19:
@@ -109,13 +112,28 @@ def candidates(text: str, base: list[Span]) -> list[Span]:
     return out
 
 
-def contexts(text: str, span: Span) -> list[str]:
-    """Lexical patterns around a span: two words before; one before and one after."""
+LONG = 40
+
+
+def _short(text: str) -> str:
+    """A text itself, or behind a mark its digest where it is long: equal texts stay equal, others differ."""
+    return text if len(text) <= LONG else "#" + hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def contexts(text: str, span: Span, words: list[tuple[int, int]] | None = None) -> list[str]:
+    """Lexical patterns around a span: two words before; one before and one after. A word that the span cuts gives its part.
+    ``words``: the places of the text's words, where they are known."""
     kind, s, e = span
-    before = text[max(0, s - 120) : s].lower().split()[-2:]
-    after = text[e : e + 60].lower().split()[:1]
-    one, two = before[-1:] or ["^"], before[-2:-1] or ["^"]
-    return [f"{kind}|{two[0][:40]} {one[0][:40]} _", f"{kind}|{one[0][:40]} _ {(after or ['$'])[0][:40]}"]
+    words = [m.span() for m in _WORD.finditer(text)] if words is None else words
+    k = bisect.bisect_left(words, (s, -1))  # the words before k begin before the span
+    before = [text[a : min(b, s)].lower() for a, b in words[max(0, k - 2) : k]]
+    j = bisect.bisect_right(words, (e, -1))
+    if j and words[j - 1][1] > e:
+        after = text[e : words[j - 1][1]].lower()
+    else:
+        after = text[slice(*words[j])].lower() if j < len(words) else "$"
+    one, two = _short(before[-1]) if before else "^", _short(before[-2]) if len(before) > 1 else "^"
+    return [f"{kind}|{two} {one} _", f"{kind}|{one} _ {_short(after)}"]
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,9 +144,11 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text or not _HINT.search(text):
                 continue
             base = base_spans(text)
-            for seed, spans in ((True, base), (False, candidates(text, base))):
+            loose = candidates(text, base)
+            words = [m.span() for m in _WORD.finditer(text)] if base or loose else []
+            for seed, spans in ((True, base), (False, loose)):
                 for span in spans:
-                    rows += [(span[0], text[span[1] : span[2]].lower()[:256], seed, p) for p in contexts(text, span)]
+                    rows += [(span[0], _short(text[span[1] : span[2]].lower()), seed, p) for p in contexts(text, span, words)]
         cols = list(zip(*rows)) if rows else [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.bool_(), pa.string()))], names)
 
@@ -162,7 +182,9 @@ def _finder(shared):
             base = base_spans(text or "")
             added = [(x["kind"], x["s"], x["e"]) for x in old["added"]] if old else []
             if good and text:
-                added += [c for c in candidates(text, base) if c not in added and any(p in good for p in contexts(text, c))]
+                fresh = [c for c in candidates(text, base) if c not in added]
+                words = [m.span() for m in _WORD.finditer(text)] if fresh else []
+                added += [c for c in fresh if any(p in good for p in contexts(text, c, words))]
             rows.append({"base": as_rows(base), "added": as_rows(sorted(added, key=lambda x: (x[1], KINDS.index(x[0]))))})
         return pa.array(rows, kind)
 

@@ -191,3 +191,20 @@ def test_a_changed_payload_is_noticed():
     with pytest.raises(ValueError, match="digest"):
         zip_warc.parse_record(record.replace(b"<p>x", b"<p>y"))
     assert hashlib.sha1(b"").hexdigest() == "da39a3ee5e6b4b0d3255bfef95601890afd80709"
+
+
+def test_contexts_are_whole_words_at_any_distance():
+    plain = lambda t, s, e: (t[:s].lower().split()[-2:], t[e:].lower().split()[:1])
+    long = "w" * 300
+    for text in ("Call me now: 12 today", "12", " 12 ", "x 12", "a(12)b c", f"{long} is {long}12{long} end", "far" + " " * 500 + "away" + "\t" * 200 + "12" + " " * 90 + "Behind it"):
+        s = text.index("12")
+        before, after = plain(text, s, s + 2)
+        one, two = pii_bootstrap._short(before[-1]) if before else "^", pii_bootstrap._short(before[-2]) if len(before) > 1 else "^"
+        end = pii_bootstrap._short(after[0]) if after else "$"
+        assert pii_bootstrap.contexts(text, ("ip", s, s + 2)) == [f"ip|{two} {one} _", f"ip|{one} _ {end}"]
+    assert pii_bootstrap._short(long) != pii_bootstrap._short(long + "w") and len(pii_bootstrap._short(long * 9)) < 40
+
+
+def test_candidates_of_any_length():
+    assert pii_bootstrap.candidates("z" * 90 + "@" + "y" * 80, []) == [("email", 0, 171)]
+    assert pii_bootstrap.candidates("555 " + " " * 60 + "1234", []) == [("phone", 0, 68)]
