@@ -72,21 +72,34 @@ def length_norm(n: np.ndarray, docs: int, total: int) -> np.ndarray:
     return 75 + (25 * n * docs) // max(total, 1)
 
 
-def _narrow(x: np.ndarray) -> bytes:
-    """Numbers in the narrowest of 1, 2, 4 or 8 bytes each, behind one byte that names the width."""
-    top = int(x.max())
-    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return bytes([width]) + x.astype(f"<u{width}").tobytes()
-
-
 def _wide(data: bytes, n: int) -> tuple[np.ndarray, int]:
     width = data[0]
     return np.frombuffer(data, f"<u{width}", n, 1).astype(np.int64), 1 + n * width
 
 
-def compress(docs: np.ndarray, tf: np.ndarray) -> bytes:
-    """Ascending document numbers as gaps, then counts."""
-    return _narrow(np.diff(docs, prepend=0)) + _narrow(tf)
+def compress(docs: np.ndarray, tf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks of ascending document numbers with counts as (bytes, end of each block): the width of the gaps (1, 2, 4 or 8 bytes), the
+    gaps, the width of the counts, the counts. All blocks are laid out by array operations at once."""
+    n = np.diff(starts, append=len(docs))
+    gaps = np.diff(docs, prepend=0)
+    gaps[starts] = docs[starts]
+    place = np.arange(len(docs)) - np.repeat(starts, n)
+    parts = []
+    for x in (gaps, tf):
+        top = np.maximum.reduceat(x, starts)
+        parts.append((x, np.select([top < 1 << 8, top < 1 << 16, top < 1 << 32], [1, 2, 4], 8)))
+    ends = np.cumsum(2 + n * (parts[0][1] + parts[1][1]))
+    out = np.zeros(ends[-1], np.uint8)
+    head = np.concatenate([[0], ends[:-1]])
+    for x, width in parts:
+        out[head] = width
+        own = np.repeat(width, n)
+        at = np.repeat(head + 1, n) + place * own
+        for k in range(int(width.max())):
+            here = own > k
+            out[at[here] + k] = (x[here] >> 8 * k) & 0xFF
+        head = head + 1 + n * width
+    return out, ends
 
 
 def decompress(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +145,7 @@ class Shard:
         ends = np.append(starts[1:], len(where))
         block = np.repeat(np.arange(len(starts)), ends - starts)
         best = skyline(block, tf, lengths[doc])
-        data = [compress(doc[s:e], tf[s:e]) for s, e in zip(starts.tolist(), ends.tolist())]
+        data, data_ends = compress(doc, tf, starts)
         blocks = -(-df // BLOCK)  # of each list
         cuts = np.concatenate([[0], np.cumsum(blocks)])
         sky = np.bincount(block[best], minlength=len(starts))
@@ -140,7 +153,11 @@ class Shard:
         at = lambda cut: pa.array(np.append(cut, cut[-1]), pa.int32())  # noqa: E731  the document row's arrays are empty
         ids = np.array([0 if i is None else i for i in self.ids], np.int64)
         known = np.array([i is not None for i in self.ids])
-        own = [ids.tobytes(), known.tobytes(), lengths.tobytes()]
+        own = [np.frombuffer(x.tobytes(), np.uint8) for x in (ids, known, lengths)]
+        offsets = np.concatenate([[0], data_ends, data_ends[-1] + np.cumsum([len(x) for x in own])])
+        lists = pa.Array.from_buffers(  # the last three are the document row's
+            pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.concatenate([data, *own]))]
+        ).cast(pa.binary())
         names = pa.array([*self.terms, b""], pa.binary()).cast(pa.string())
         columns = [
             pa.array(np.full(len(names), shard)), names, pa.array(np.append(df, len(ids))),
@@ -150,7 +167,7 @@ class Shard:
             pa.ListArray.from_arrays(at(cuts), pa.array(sky, pa.int32())),
             pa.ListArray.from_arrays(at(held), pa.array(tf[best], pa.int64())),
             pa.ListArray.from_arrays(at(held), pa.array(lengths[doc[best]], pa.int64())),
-            pa.ListArray.from_arrays(pa.array([*cuts.tolist(), len(data) + 3], pa.int32()), pa.array(data + own, pa.binary())),
+            pa.ListArray.from_arrays(pa.array([*cuts.tolist(), len(starts) + 3], pa.int32()), lists),
         ]
         return pa.RecordBatch.from_arrays(columns, ["shard", "term", "df", "total", "ends", "last", "sky", "sky_tf", "sky_n", "data"])
 

@@ -81,7 +81,8 @@ def test_blocks_are_rejected_before_decompression():
         ends = np.append(starts[1:], len(docs))
         block = np.repeat(np.arange(len(starts)), ends - starts)
         best = ranked_search.skyline(block, tf, lengths[docs])
-        data = [ranked_search.compress(docs[s:e], tf[s:e]) for s, e in zip(starts, ends)]
+        flat, cuts = ranked_search.compress(docs, tf, starts)
+        data = [flat[s:e].tobytes() for s, e in zip([0, *cuts], cuts)]
         return ranked_search.Postings(ends - starts, docs[ends - 1], np.bincount(block[best], minlength=len(starts)), tf[best], lengths[docs[best]], data, norm, corpus)
 
     common = postings(np.arange(n), rng.integers(1, 9, n))
@@ -100,9 +101,14 @@ def test_blocks_are_rejected_before_decompression():
 
 
 def test_compression_round_trip():
-    for docs, tf in (([0], [1]), ([5, 300, 70_000], [1, 256, 1 << 33]), (list(range(128)), [7] * 128)):
-        got = ranked_search.decompress(ranked_search.compress(np.array(docs, np.int64), np.array(tf, np.int64)), len(docs))
-        assert got[0].tolist() == docs and got[1].tolist() == tf
+    """Blocks of all widths, each read back alone."""
+    blocks = [([0], [1]), ([5, 300, 70_000], [1, 256, 1 << 33]), (list(range(128)), [7] * 128), ([1 << 33], [1 << 40]), ([255], [65_535])]
+    docs, tf = (np.array([x for b in blocks for x in b[k]], np.int64) for k in (0, 1))
+    starts = np.cumsum([0, *[len(b[0]) for b in blocks[:-1]]])
+    flat, ends = ranked_search.compress(docs, tf, starts)
+    for (d, t), s, e in zip(blocks, [0, *ends], ends):
+        got = ranked_search.decompress(flat[s:e].tobytes(), len(d))
+        assert got[0].tolist() == d and got[1].tolist() == t
 
 
 def test_long_texts_in_pieces(monkeypatch):
