@@ -291,7 +291,8 @@ def keep_one(
     met = lambda other: (key == other["__id"]) & (spread == other["__zero"])
     ids = lambda df: df.select(F.col("id").alias("__id"), F.lit(0).cast("bigint").alias("__zero"))
     gone = ids(found.where("id <> component_id")).distinct()
-    left = docs.join(gone, met(gone), "left_anti")
+    # documents are shuffled once at every size; the ids that go grow with the corpus and are never broadcast
+    left = docs.join(gone.hint("merge"), met(gone), "left_anti")
     again = stash(ids(found.where("id is not null").groupBy("id").count().where("count > 1")), "mih-again")
     if not again.limit(1).count():
         return left
