@@ -1,6 +1,6 @@
 """Language-model scoring by context-tree weighting over bytes.
 
-Each byte is eight binary decisions; every decision has a context tree over the bytes before it, up to ``DEPTH``.
+Each byte is eight binary decisions; every decision has a context tree over the bytes before it, up to ``depth``.
 A node estimates its bits by Krichevsky-Trofimov, and its weighted probability is half its own estimate
 plus half the product of its children's. The trained tree predicts a bit by mixing the estimates along its
 context path with the weights the data gave to stopping there. Contexts start with NUL bytes and a text ends with one
@@ -8,12 +8,14 @@ coded NUL, so the probabilities of texts add up to one; log2 / bytes is the code
 
 The same scan counts the words of the training texts for a smoothed unigram base score.
 
-* Counting: each task keeps counted byte 4-grams and words of its texts and sends them when they are many; Spark
-  adds them up. What is gathered grows with the corpus.
-* The tree is built from the counted grams. A depth holds at most ``max_grams`` of them; beyond that the contexts with
-  the fewest occurrences fall back to the depth above. This bounds the model that is broadcast, not what is counted.
-* Scoring: the words of a document are looked up in a broadcast of the ``HEAVY`` most frequent ones; all others
-  are joined with the counted words by shuffle. So the base score is exact with any vocabulary.
+* Counting: each task keeps counted byte grams and words of its texts and sends them when they are many; Spark
+  adds them up. What is gathered grows with the corpus, and all of it is used.
+* The tree is one table of nodes per depth, written from the deepest up: a node's counts and the product of its children are sums
+  over the table below. No table passes through the driver.
+* Scoring: the log-probabilities of the ``HEAVY_GRAMS`` most frequent grams and the values of the ``HEAVY`` most frequent words are
+  broadcast, at most 16 and about 15 MB. All other grams of a document are looked up in the node tables and come back by
+  a join on the gram, all other words by a join with the counted words; heavy keys of both joins are broadcast. The limits move
+  work between broadcast and join only: scores are the same with any of them.
 
 Defined results: a null text is the empty text; without training text nothing is known and the tree predicts every bit
 with 1/2; repeated rows are scored and counted each; other columns are not needed and not returned.
@@ -31,36 +33,42 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions.attach import attach
 from tabloom.llm.shared import batches_of, binaries, stash
 
-DEPTH = 3
-MAX_GRAMS = 1 << 20
+DEPTH, MOST_DEPTH = 3, 6  # a gram of seven bytes still fits a signed 64-bit integer
+HEAVY_GRAMS = 1 << 20
 HEAVY, HEAVY_BYTES = 100_000, 64
 PIECE = 1 << 20
-_START = b"\0" * DEPTH
+FLUSH_WORDS, FLUSH_GRAMS = 200_000, 1_000_000
 
 
-def coded(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def coded(texts: list[bytes], depth: int = DEPTH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Bounded pieces as (index of the text of each run, start of each run, grams): a gram holds a coded byte in its lowest
     byte and its context above, the runs follow each other."""
     runs, owner = [], []
     for k, text in enumerate(texts):
-        whole = _START + text + b"\0"
-        for s in range(0, len(whole) - DEPTH, PIECE):
-            runs.append(whole[s : s + PIECE + DEPTH]), owner.append(k)
+        whole = b"\0" * depth + text + b"\0"
+        for s in range(0, len(whole) - depth, PIECE):
+            runs.append(whole[s : s + PIECE + depth]), owner.append(k)
+    kind = np.uint32 if depth <= 3 else np.int64
     for a, b in batches_of(map(len, runs), PIECE):
-        x = np.frombuffer(b"".join(runs[a:b]), np.uint8).astype(np.uint32)
+        x = np.frombuffer(b"".join(runs[a:b]), np.uint8).astype(kind)
         sizes = np.array([len(r) for r in runs[a:b]])
-        grams = (x[:-3] << np.uint32(24)) | (x[1:-2] << np.uint32(16)) | (x[2:-1] << np.uint32(8)) | x[3:]
+        grams = x[depth:].copy()
+        for back in range(1, depth + 1):
+            grams |= x[depth - back : len(x) - back] << kind(8 * back)
         keep = np.ones(len(grams), bool)  # grams that reach across two runs are left out
         ends = np.cumsum(sizes)[:-1]
-        keep[(ends[:, None] - 1 - np.arange(DEPTH)).ravel()] = False
-        n = sizes - DEPTH
+        keep[(ends[:, None] - 1 - np.arange(depth)).ravel()] = False
+        n = sizes - depth
         yield np.array(owner[a:b]), np.cumsum(n) - n, grams[keep]
 
 
 def distinct_grams(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct grams ascending, index of each gram among them), by a table over the pairs of halves that occur."""
+    if grams.dtype != np.uint32:
+        return np.unique(grams, return_inverse=True)
     high, low = grams >> np.uint32(16), grams & np.uint32(0xFFFF)
     seen = [np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)]
     seen[0][high], seen[1][low] = True, True
@@ -82,7 +90,7 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gather(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
     """Counted words, ends of text (token null, gram -1) and grams of the texts."""
     words: Counter = Counter()
     grams: dict[int, int] = {}
@@ -101,20 +109,24 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends += len(texts)
         for text in texts:
             words.update(words_of(text))
-            if len(words) > 200_000:
+            if len(words) > FLUSH_WORDS:
                 yield flush()
                 ends = 0
-        for _, _, g in coded(texts):
+        for _, _, g in coded(texts, depth):
             keys, where = distinct_grams(g)
             for k, n in zip(keys.tolist(), np.bincount(where, minlength=len(keys)).tolist()):
                 grams[k] = grams.get(k, 0) + n
+            if len(grams) > FLUSH_GRAMS:
+                yield flush()
+                ends = 0
     yield flush()
 
 
-def gather(texts: DataFrame) -> DataFrame:
+def gather(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(token, gram, n, kind) of a one-column table of training texts, as a table of the shared folder laid out by
     kind: word, gram or end."""
-    counted = texts.mapInArrow(_gather, "token string, gram bigint, n bigint").groupBy("token", "gram").agg(F.sum("n").alias("n"))
+    count = lambda batches: _gather(batches, depth)
+    counted = texts.mapInArrow(count, "token string, gram bigint, n bigint").groupBy("token", "gram").agg(F.sum("n").alias("n"))
     kind = F.when(F.col("token").isNotNull(), "word").when(F.col("gram") >= 0, "gram").otherwise("end")
     return stash(counted.where("n > 0").withColumn("kind", kind), "ctw-counts", by="kind")
 
@@ -125,7 +137,7 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     for k in range(8):
         shift += np.log(x + k)
     y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7) - shift
 
 
 def kt_log(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -134,127 +146,97 @@ def kt_log(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + half) + _log_gamma(ones + half) - _log_gamma(zeros + ones + 1) - math.log(math.pi)
 
 
-def _bits(grams: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each of the eight decisions of a byte: (node key at ``depth``, bit)."""
-    byte = (grams & 0xFF).astype(np.int64)
-    context = (grams.astype(np.int64) >> 8) & ((1 << 8 * depth) - 1)
-    for k in range(8):
-        yield (context << 8) | (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
-
-
-class Tree:
-    """The trained model as arrays: node keys of each depth with their counts and weights, and the scores of known grams."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], cut: list[bool]):
-        self.nodes, self.cut = [], cut
-        below = None
-        for depth in range(DEPTH, -1, -1):
-            grams, n = levels[depth]
-            pairs = list(_bits(grams, depth))
-            keys, where = np.unique(np.concatenate([k for k, _ in pairs]), return_inverse=True)
-            bit, weight = np.concatenate([b for _, b in pairs]), np.tile(n.astype(np.float64), 8)
-            ones = np.bincount(where, weight * bit, len(keys)).astype(np.float64)
-            zeros = np.bincount(where, weight * (1 - bit), len(keys)).astype(np.float64)
-            own = kt_log(zeros, ones)
-            stop = np.ones(len(keys))
-            total = own
-            if below is not None:
-                child_keys, child_total, child_zeros, child_ones = below
-                parent = np.searchsorted(keys, (child_keys & ((1 << 8 * (depth + 1)) - 1)))
-                inner = np.bincount(parent, child_total, len(keys)).astype(np.float64)
-                if cut[depth + 1]:  # bits whose deeper context is not kept stay with this node's estimate
-                    for count, child in ((zeros, child_zeros), (ones, child_ones)):
-                        left = np.maximum(0, count - np.bincount(parent, child, len(keys)))
-                        inner += left * np.log((count + 0.5) / (zeros + ones + 1))
-                total = np.logaddexp(own, inner) - math.log(2)
-                stop = np.exp(own - np.logaddexp(own, inner))
-            self.nodes.insert(0, (keys, zeros, ones, stop))
-            below = (keys, total, zeros, ones)
-        self.root = below[1]
-        self.known = np.unique(levels[DEPTH][0])
-        self.known_log10 = self.mix(self.known)
-
-    def mix(self, grams: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each gram's byte after its context."""
-        out = np.zeros(len(grams))
-        decisions = [list(_bits(grams, d)) for d in range(DEPTH + 1)]
-        for k in range(8):
-            bit = decisions[0][k][1]
-            p = np.full(len(grams), 0.5)
-            met = np.zeros(len(grams), bool)
-            for depth in range(DEPTH, -1, -1):
-                keys, zeros, ones, stop = self.nodes[depth]
-                if not len(keys):
-                    continue
-                want = decisions[depth][k][0]
-                at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-                here = keys[at] == want
-                z, o = zeros[at], ones[at]
-                kt = (np.where(bit == 1, o, z) + 0.5) / (z + o + 1)
-                deeper = np.where(met, p, kt) if depth < DEPTH and self.cut[depth + 1] else p
-                p = np.where(here, stop[at] * kt + (1 - stop[at]) * deeper, p)
-                met |= here
-            out += np.log10(p)
-        return out
-
-    def log10(self, grams: np.ndarray) -> np.ndarray:
-        keys, where = distinct_grams(grams)
-        at = np.minimum(np.searchsorted(self.known, keys), max(len(self.known) - 1, 0))
-        out = np.zeros(len(keys))
-        hit = self.known[at] == keys if len(self.known) else np.zeros(len(keys), bool)
-        out[hit] = self.known_log10[at[hit]]
-        out[~hit] = self.mix(keys[~hit])
-        return out[where]
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        total = np.zeros(len(texts))
-        for owner, start, grams in coded(texts):
-            np.add.at(total, owner, np.add.reduceat(self.log10(grams), start))
-        return total
-
-
-def _level(counted: DataFrame, depth: int, max_grams: int) -> tuple[tuple[np.ndarray, np.ndarray], bool]:
-    """((grams of a depth ascending, counts), whether contexts were left out). Contexts go by size: as many of the larger powers of
-    two as fit."""
-    key = F.col("gram").bitwiseAND((1 << 8 * (depth + 1)) - 1)
-    grams = counted.groupBy(key.alias("gram")).agg(F.sum("n").alias("n"))
-    size = F.floor(F.log2("t")).cast("int")
-    total = grams.groupBy(F.shiftright("gram", 8).alias("c")).agg(F.sum("n").alias("t"), F.count("*").alias("g"))
-    sizes = sorted(((r["s"], r["g"]) for r in total.groupBy(size.alias("s")).agg(F.sum("g").alias("g")).collect()), reverse=True)
-    kept, least = 0, -1
-    for s, g in sizes:
-        if kept + g > max_grams:
+def _decisions(gram: Column, depth: int) -> list[tuple[Column, Column]]:
+    """For each of the eight decisions of a byte: (node key at ``depth``, bit). A key is the context above one byte, which holds
+    the bits already decided behind a leading one."""
+    byte = gram.bitwiseAND(255)
+    context = F.shiftleft(F.shiftright(gram, 8).bitwiseAND((1 << 8 * depth) - 1), 8)
+    return [(context.bitwiseOR(F.shiftright(byte, 8 - k)).bitwiseOR(1 << k), F.shiftright(byte, 7 - k).bitwiseAND(1)) for k in range(8)]
+
+
+def _weigh(zeros: pa.Array, ones: pa.Array, inner: pa.Array) -> pa.Array:
+    """(ln of the weighted probability, weight of stopping) of nodes; ``inner``: sum over their children, null at the deepest."""
+    own = kt_log(zeros.to_numpy(zero_copy_only=False).astype(float), ones.to_numpy(zero_copy_only=False).astype(float))
+    below = pc.fill_null(inner, math.nan).to_numpy(zero_copy_only=False)
+    leaf = np.isnan(below)
+    both = np.logaddexp(own, np.where(leaf, own, below))
+    total, stop = np.where(leaf, own, both - math.log(2)), np.where(leaf, 1.0, np.exp(own - both))
+    return pa.StructArray.from_arrays([pa.array(total), pa.array(stop)], ["total", "stop"])
+
+
+def levels(counted: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
+    """The trained tree from (gram, n) of all training text: (node, zeros, ones, total, stop) per depth, the root's first."""
+    split = F.explode(F.array(*[F.struct(k.alias("node"), b.alias("bit")) for k, b in _decisions(F.col("gram"), depth)])).alias("d")
+    seen = counted.select(split, "n").select("d.node", F.when(F.col("d.bit") == 0, F.col("n")).otherwise(0).alias("z"), F.when(F.col("d.bit") == 1, F.col("n")).otherwise(0).alias("o"))
+    nodes = seen.groupBy("node").agg(F.sum("z").alias("zeros"), F.sum("o").alias("ones")).withColumn("inner", F.lit(None).cast("double"))
+    out: list[DataFrame] = []
+    weigh = F.arrow_udf(_weigh, "struct<total:double,stop:double>")
+    for d in range(depth, -1, -1):
+        weighed = nodes.select("node", "zeros", "ones", weigh("zeros", "ones", "inner").alias("w"))
+        out.insert(0, stash(weighed.select("node", "zeros", "ones", "w.total", "w.stop"), f"ctw-level{d}"))
+        above = F.col("node").bitwiseAND((1 << 8 * d) - 1)
+        sums = [F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("total").alias("inner")]
+        nodes = out[0].groupBy(above.alias("node")).agg(*sums)
+    return out
+
+
+def log10_of(grams: DataFrame, tree: list[DataFrame]) -> DataFrame:
+    """``grams`` (distinct in ``gram``) with ``lp``: log10 of the probability of each gram's byte after its context, by one join per depth.
+    The nodes of the two upper depths, at most 65,280, are broadcast."""
+    depth = len(tree) - 1
+    steps = [_decisions(F.col("gram"), d) for d in range(depth + 1)]
+    path = [F.struct(*[steps[d][k][0].alias(f"k{d}") for d in range(depth + 1)], steps[0][k][1].alias("bit")) for k in range(8)]
+    rows = grams.select("*", F.explode(F.array(*path)).alias("_d")).select(*grams.columns, "_d.*").withColumn("p", F.lit(0.5))
+    for d in range(depth, -1, -1):
+        node = tree[d].select(F.col("node").alias(f"k{d}"), "zeros", "ones", "stop")
+        rows = rows.join(F.broadcast(node) if d < 2 else node, f"k{d}", "left")
+        own = (F.when(F.col("bit") == 1, F.col("ones")).otherwise(F.col("zeros")) + 0.5) / (F.col("zeros") + F.col("ones") + 1)
+        mixed = F.col("stop") * own + (1 - F.col("stop")) * F.col("p")
+        rows = rows.withColumn("p", F.coalesce(mixed, F.col("p"))).drop(f"k{d}", "zeros", "ones", "stop")
+    return rows.groupBy(*grams.columns).agg(F.sum(F.log10("p")).alias("lp"))
+
+
+def most_frequent(counted: DataFrame, key: str, most: int) -> DataFrame:
+    """``counted`` cut to its most frequent keys: whole classes of equal floor(8 log2 n), as many as fit ``most``. A sort would send
+    every task's candidates."""
+    classed = counted.withColumn("_class", F.floor(8 * F.log2("n")).cast("int"))
+    fit, least = 0, None
+    for r in sorted(classed.groupBy("_class").count().collect(), key=lambda r: -r["_class"]):
+        fit += r["count"]
+        if fit > most:
             break
-        kept, least = kept + g, s
-    cut = kept < sum(g for _, g in sizes)
-    if cut:
-        grams = grams.join(total.where(size >= least) if kept else total.limit(0), F.shiftright("gram", 8) == F.col("c"), "left_semi")
-    table = grams.select("gram", "n").toArrow().sort_by("gram")
-    return (table["gram"].to_numpy().astype(np.uint32), table["n"].to_numpy()), cut
-
-
-def build(counted: DataFrame, max_grams: int = MAX_GRAMS) -> Tree:
-    """The tree from (gram, n) of all training text. Whole depths give the depths above them without another job."""
-    levels, cut = [], []
-    for depth in range(DEPTH, -1, -1):
-        if cut and not cut[0]:
-            keys, where = np.unique(levels[0][0] & np.uint32((1 << 8 * (depth + 1)) - 1), return_inverse=True)
-            level, partial = (keys, np.bincount(where, levels[0][1], len(keys))), False
-        else:
-            level, partial = _level(counted, depth, max_grams)
-        levels.insert(0, level), cut.insert(0, partial)
-    for depth in range(1, DEPTH + 1):  # a context is kept only below a kept one
-        if cut[depth - 1]:
-            above = np.unique(levels[depth - 1][0] >> np.uint32(8))
-            grams, n = levels[depth]
-            below = np.isin((grams >> np.uint32(8)) & np.uint32((1 << 8 * (depth - 1)) - 1), above)
-            levels[depth], cut[depth] = (grams[below], n[below]), True
-    return Tree(levels, cut)
-
-
-def _scorer(tree, heavy):
+        least = r["_class"]
+    return (classed.where(F.col("_class") >= least) if least is not None else classed.limit(0)).select(key, "n")
+
+
+def _scorer(heavy_grams, heavy, depth: int):
     rare = pa.list_(pa.struct([("token", pa.string()), ("tf", pa.int32())]))
-    kind = pa.struct([("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("rare", rare), ("score", pa.float64())])
+    rare_grams = pa.list_(pa.struct([("gram", pa.int64()), ("tf", pa.int32())]))
+    kind = pa.struct([
+        ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("rare", rare), ("score", pa.float64()), ("rare_grams", rare_grams),
+    ])
+
+    def by_grams(texts: list[bytes]) -> tuple[pa.Array, pa.Array]:
+        """(sum over the heavy grams of each text, its other grams with their counts)."""
+        keys, values = heavy_grams.value
+        total, others = np.zeros(len(texts)), []
+        for owner, start, grams in coded(texts, depth):
+            found, where = distinct_grams(grams)
+            at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
+            hit = keys[at] == found if len(keys) else np.zeros(len(found), bool)
+            lp = np.zeros(len(found))
+            lp[hit] = values[at[hit]]
+            np.add.at(total, owner, np.add.reduceat(lp[where], start))
+            if not hit.all():
+                miss = np.flatnonzero(~hit[where])
+                text = owner[np.searchsorted(start, miss, "right") - 1]
+                pair, tf = np.unique(np.stack([text, where[miss]]), axis=1, return_counts=True)
+                others.append((pair[0], found[pair[1]].astype(np.int64), tf))
+        text, gram, tf = (np.concatenate(c) for c in zip(*others)) if others else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(text, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(text.astype(np.int64), minlength=len(texts)))])
+        pairs = pa.StructArray.from_arrays([pa.array(gram[order]), pa.array(tf[order], pa.int32())], ["gram", "tf"])
+        return pa.array(total), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
     def part(texts: list[bytes]) -> pa.Array:
         table = heavy.value
@@ -272,7 +254,7 @@ def _scorer(tree, heavy):
             n.append(len(words) + 1), known.append(hit), base.append(total), ends.append(len(names))
         pairs = pa.StructArray.from_arrays([pa.array(names, pa.binary()).cast(pa.string()), pa.array(tf, pa.int32())], ["token", "tf"])
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-        parts = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), lists, pa.array(tree.value.score(texts))]
+        parts = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), lists, *by_grams(texts)]
         return pa.StructArray.from_arrays([p.cast(f.type) for p, f in zip(parts, kind)], [f.name for f in kind])
 
     def score(column: pa.Array) -> pa.Array:
@@ -281,49 +263,61 @@ def _scorer(tree, heavy):
         done = [part(binaries(column.slice(s, e - s))) for s, e in batches_of(sizes, PIECE)]
         return pa.concat_arrays(done) if done else pa.array([], kind)
 
-    sql = "struct<n_tokens:bigint,known:bigint,base:double,rare:array<struct<token:string,tf:int>>,score:double>"
+    sql = (
+        "struct<n_tokens:bigint,known:bigint,base:double,rare:array<struct<token:string,tf:int>>,score:double,"
+        "rare_grams:array<struct<gram:bigint,tf:int>>>"
+    )
     return F.arrow_udf(score, sql).asNondeterministic()
 
 
-def score(docs: DataFrame, training: Column, *, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, Column] | None = None, max_grams: int = MAX_GRAMS, heavy: int = HEAVY) -> DataFrame:
+def score(
+    docs: DataFrame, training: Column, *, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, Column] | None = None,
+    depth: int = DEPTH, heavy_grams: int = HEAVY_GRAMS, heavy: int = HEAVY, broadcast_rows: int | None = None,
+) -> DataFrame:
     """One row per document: ``id_col``, the columns ``keep``, n_tokens, n_known, train_tokens, base_score and score (log10), code length
-    in bits per byte. Rows for which ``training`` holds teach."""
+    in bits per byte. Rows for which ``training`` holds teach. ``heavy_grams``, ``heavy`` and ``broadcast_rows`` bound broadcasts and change
+    no result."""
+    if not 0 <= depth <= MOST_DEPTH:
+        raise ValueError(f"depth must lie between 0 and {MOST_DEPTH}")
     spark = docs.sparkSession
-    counts = gather(docs.where(training).select(F.col(text_col).alias("text")))
-    tree = spark.sparkContext.broadcast(build(counts.where("kind = 'gram'").select("gram", "n"), max_grams))
+    counts = gather(docs.where(training).select(F.col(text_col).alias("text")), depth)
+    grams = counts.where("kind = 'gram'").select("gram", "n")
+    tree = levels(grams, depth)
+    top_grams = log10_of(most_frequent(grams, "gram", heavy_grams).select("gram"), tree).toArrow().sort_by("gram")
+    gram_table = spark.sparkContext.broadcast((top_grams["gram"].to_numpy(), top_grams["lp"].to_numpy()))
     words = counts.where("kind = 'word'").select("token", "n")
     n_ends = counts.where("kind = 'end'").agg(F.sum("n")).first()[0] or 0
     row = words.agg(F.sum("n"), F.count("*")).first()
     n_train, v = (row[0] or 0) + n_ends, row[1] + (n_ends > 0)
     below = n_train + 0.5 * (v + 1)
     value = F.log10((F.col("n") + 0.5) / below)
-    # the most frequent words by powers of 2 ** (1 / 8) of their counts, as many as fit: a sort would send every task's candidates
-    short = words.where(F.octet_length("token") <= HEAVY_BYTES).withColumn("b", F.floor(8 * F.log2("n")).cast("int"))
-    fit, least = 0, None
-    for r in sorted(short.groupBy("b").count().collect(), key=lambda r: -r["b"]):
-        fit += r["count"]
-        if fit > heavy:
-            break
-        least = r["b"]
-    top = short.where(F.col("b") >= least).select("token", value.alias("v")) if least is not None else short.limit(0).select("token", value.alias("v"))
+    top = most_frequent(words.where(F.octet_length("token") <= HEAVY_BYTES), "token", heavy).select("token", value.alias("v"))
     table = spark.sparkContext.broadcast({r["token"].encode(): r["v"] for r in top.collect()})
     kept = keep or {}
     scored = docs.select(
         F.col(id_col), *[c.alias(k) for k, c in kept.items()], F.monotonically_increasing_id().alias("_row"),
-        F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).alias("_bytes"), _scorer(tree, table)(F.col(text_col)).alias("_s"),
+        F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).alias("_bytes"), _scorer(gram_table, table, depth)(F.col(text_col)).alias("_s"),
     )
     scored = stash(scored, "ctw-scored")
     rare = scored.select("_row", F.explode("_s.rare").alias("r")).select("_row", "r.token", "r.tf")
-    met = rare.join(words, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    extra = met.groupBy("_row").agg(F.sum(F.col("tf") * value).alias("_b"), F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("_k"))
+    wanted = rare.groupBy("token").agg(F.count("*").alias("rows")).join(words, "token", "left")
+    met = attach(rare, stash(wanted, "ctw-words"), ["token"], "rows", broadcast_rows).withColumn("n", F.coalesce("n", F.lit(0)))
+    rare_grams = scored.select("_row", F.explode("_s.rare_grams").alias("r")).select("_row", "r.gram", "r.tf")
+    deeper = stash(log10_of(rare_grams.groupBy("gram").agg(F.count("*").alias("rows")), tree), "ctw-grams")
+    priced = attach(rare_grams, deeper, ["gram"], "rows", broadcast_rows)
+    none = F.lit(0.0)
+    parts = met.select("_row", (F.col("tf") * value).alias("b"), F.when(F.col("n") > 0, F.col("tf")).otherwise(0).alias("k"), none.alias("s"))
+    parts = parts.unionAll(priced.select("_row", none.alias("b"), F.lit(0).alias("k"), (F.col("tf") * F.col("lp")).alias("s")))
+    extra = parts.groupBy("_row").agg(F.sum("b").alias("_b"), F.sum("k").alias("_k"), F.sum("s").alias("_more"))
     end = math.log10((n_ends + 0.5) / below)
     own = [F.col(f"_s.{c}").alias(f"_{c}") for c in ("n_tokens", "known", "base", "score")]
     slim = scored.select(id_col, *kept, "_row", "_bytes", *own).join(extra, "_row", "left")
+    total = F.col("_score") + F.coalesce("_more", none)
     return slim.select(
         id_col, *kept, F.col("_n_tokens").alias("n_tokens"),
         (F.col("_known") + F.coalesce("_k", F.lit(0)) + (1 if n_ends else 0)).cast("bigint").alias("n_known"),
         F.lit(n_train).cast("bigint").alias("train_tokens"),
-        (F.col("_base") + F.coalesce("_b", F.lit(0.0)) + end).alias("base_score"),
-        F.col("_score").alias("score"),
-        (-F.col("_score") / math.log10(2) / F.greatest("_bytes", F.lit(1))).alias("bits_per_byte"),
+        (F.col("_base") + F.coalesce("_b", none) + end).alias("base_score"),
+        total.alias("score"),
+        (-total / math.log10(2) / F.greatest("_bytes", F.lit(1))).alias("bits_per_byte"),
     )

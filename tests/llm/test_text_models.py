@@ -120,21 +120,15 @@ def plain_ctw(training, depth=ctw.DEPTH):
     return counts, weighted
 
 
-def test_tree_matches_the_definition(spark):
-    """The probability of one more text is the ratio of the weighted probabilities with and without it, symbol by symbol."""
-    training = [b"abcabcabd", b"abba", b"cab"]
-    grams = Counter()
-    for _, _, g in ctw.coded(training):
-        grams.update(g.tolist())
-    tree = ctw.build(spark.createDataFrame(list(grams.items()), "gram bigint, n bigint"))
-    counts, weighted = plain_ctw(training)
-    want = 0.0
-    whole = b"\0" * 3 + b"abx" + b"\0"
-    for p in range(3, len(whole)):
+def plain_probability(training, text, depth):
+    """log10 probability of one more text: ratios of the weighted probabilities with and without each bit."""
+    counts, weighted = plain_ctw(training, depth)
+    want, whole = 0.0, b"\0" * depth + text + b"\0"
+    for p in range(depth, len(whole)):
         for k in range(8):
             node, bit = (1 << k) | (whole[p] >> (8 - k)), whole[p] >> (7 - k) & 1
             before = weighted(node, b"")
-            path = [(node, whole[p - d : p]) for d in range(4)]
+            path = [(node, whole[p - d : p]) for d in range(depth + 1)]
             new = [q for q in path if q not in counts]
             for q in path:
                 counts.setdefault(q, [0, 0])[bit] += 1
@@ -143,11 +137,36 @@ def test_tree_matches_the_definition(spark):
                 counts[q][bit] -= 1
             for q in new:
                 del counts[q]
-    assert tree.score([b"abx"])[0] == pytest.approx(want, abs=1e-9)
-    total = sum(10 ** float(tree.mix(np.array([(97 << 24 | 98 << 16 | 99 << 8) | c], np.uint32))[0]) for c in range(256))
-    assert total == pytest.approx(1)
-    cut = ctw.build(spark.createDataFrame(list(grams.items()), "gram bigint, n bigint"), max_grams=6)
-    assert sum(10 ** float(cut.mix(np.array([(97 << 24 | 98 << 16 | 97 << 8) | c], np.uint32))[0]) for c in range(256)) == pytest.approx(1)
+    return want
+
+
+@pytest.mark.parametrize("depth,heavy_grams,broadcast_rows", [(3, 1 << 20, None), (3, 0, 0), (3, 6, 1), (5, 4, None), (1, 1, None), (0, 3, None)])
+def test_scores_match_the_definition(spark, depth, heavy_grams, broadcast_rows):
+    """Whole scores against the recursive definition at several depths, with everything broadcast and with nothing."""
+    training = [b"abcabcabd", b"abba", b"cab"]
+    texts = [b"abx", b"abcabd", b"", b"zzz", b"ab" * 9]
+    rows = [(k, t.decode(), True) for k, t in enumerate(training)] + [(10 + k, t.decode(), False) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, teaches boolean")
+    got = ctw.score(docs, F.col("teaches"), depth=depth, heavy_grams=heavy_grams, broadcast_rows=broadcast_rows)
+    found = {r["doc_id"]: r["score"] for r in got.collect()}
+    for k, text in enumerate(texts):
+        assert found[10 + k] == pytest.approx(plain_probability(training, text, depth), abs=1e-9)
+
+
+def test_probabilities_of_a_byte_add_up_to_one(spark):
+    training = [b"abcabcabd", b"abba", b"cab"]
+    grams = Counter(g for _, _, part in ctw.coded(training) for g in part.tolist())
+    tree = ctw.levels(spark.createDataFrame(list(grams.items()), "gram bigint, n bigint"))
+    for context in (b"abc", b"aba", b"xyz"):
+        every = spark.createDataFrame([(int.from_bytes(context, "big") << 8 | c,) for c in range(256)], "gram bigint")
+        assert ctw.log10_of(every, tree).agg(F.sum(F.pow(F.lit(10.0), "lp"))).first()[0] == pytest.approx(1)
+
+
+def test_limits_do_not_change_scores(spark, docs):
+    some = docs.where("doc_id < 120").select("doc_id", "text")
+    whole = {r["doc_id"]: r for r in ctw.score(some, fold(F.col("doc_id")) != 1).collect()}
+    for r in ctw.score(some, fold(F.col("doc_id")) != 1, heavy_grams=100, heavy=3, broadcast_rows=1).collect():
+        assert r["score"] == pytest.approx(whole[r["doc_id"]]["score"]) and r["base_score"] == pytest.approx(whole[r["doc_id"]]["base_score"])
 
 
 @pytest.mark.parametrize("heavy", [100_000, 3])
