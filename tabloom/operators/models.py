@@ -17,7 +17,6 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
@@ -30,6 +29,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.operators.bayes import GaussianBayes
 from tabloom.operators.transformers import RbfSvm
 from tabloom.operators.trees import Forest, LeafwiseBoosting
 
@@ -191,7 +191,7 @@ def _tree(problem: str) -> Builder:
 
 
 def _naive_bayes(s: Shape, p: Mapping) -> Estimator:
-    return _out(NaiveBayes(modelType="gaussian"), s)
+    return GaussianBayes(varSmoothing=float(p.get("var_smoothing", 1e-9)), suffix=s.suffix)
 
 
 def _ridge_classifier(s: Shape, p: Mapping) -> Estimator:

@@ -381,6 +381,15 @@ def ordinal_codes(df: DataFrame, column: str) -> DataFrame:
     return dense_codes(ordinal_values(df, [column]).select(order), "_order").select("_order.value", "code", "n")
 
 
+def ordinal_positions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, value, position``: every ordinal wording of the columns with at least two, in the order of
+    :func:`ordinal_order`, as rows, so that any number of wordings is whole."""
+    order = F.struct("column", "rank", "value").alias("_order")
+    codes = dense_codes(ordinal_values(df, columns).select(order), "_order").select("_order.column", "_order.value", "code")
+    first = codes.groupBy("column").agg(F.min("code").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n >= 2")
+    return codes.join(F.broadcast(first), "column").select("column", "value", (F.col("code") - F.col("_first")).cast("bigint").alias("position"))
+
+
 # ---- the whole profile --------------------------------------------------------------
 
 PROFILE_SCHEMA = T.StructType(

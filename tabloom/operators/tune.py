@@ -98,7 +98,7 @@ SPACES: dict[tuple[str, str], dict[str, Domain]] = {
 }
 GRID_MODELS = ("logistic_regression", "ridge_classifier", "sgd_classifier")
 # parameters of the spaces that no library estimator distinguishes: equal candidates are fitted once
-INERT = ("solver", "var_smoothing")
+INERT = ("solver",)
 
 
 def space(model: str, problem: str) -> dict[str, Domain]:

@@ -97,9 +97,9 @@ def reg_ridge(spark: SparkSession, sf: str) -> DataFrame:
 _NB = ("l_quantity", "l_extendedprice", "l_discount")
 
 
-def _nb_sql() -> str:
+def _nb_sql(smoothing: float = 1e-9) -> str:
     stats = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in _NB)
-    eps = "1e-9 * greatest(" + ", ".join(f"(SELECT var_pop({c}) FROM t)" for c in _NB) + ")"
+    eps = f"{smoothing:g}::DOUBLE * greatest(" + ", ".join(f"(SELECT var_pop({c}) FROM t)" for c in _NB) + ")"
     ll = " + ".join(f"-0.5 * ln(2 * pi() * (v_{c} + e)) - 0.5 * pow({c} - m_{c}, 2) / (v_{c} + e)" for c in _NB)
     return f"""WITH t AS ({LINES_SQL}), p AS (SELECT label AS y, count(*)::DOUBLE AS n, {stats} FROM t GROUP BY 1), e AS (SELECT {eps} AS e),
     s AS (SELECT t.*, y, ln(n / (SELECT count(*) FROM t)) + {ll} AS ll FROM t CROSS JOIN p CROSS JOIN e),
@@ -115,6 +115,24 @@ def clf_gaussian_nb(spark: SparkSession, sf: str) -> DataFrame:
     return m.transform(df).select("l_orderkey", "l_linenumber", "l_extendedprice", F.round(vector_to_array("probability")[1], 6).alias("probability"))
 
 
+_SMOOTHINGS = (1e-9, 1e-3, 0.1)
+
+
+@query(
+    "clf_gaussian_nb_smoothed",
+    sql=" UNION ALL ".join(f"SELECT {v:g}::DOUBLE AS var_smoothing, * FROM ({_nb_sql(v)})" for v in _SMOOTHINGS),
+)
+def clf_gaussian_nb_smoothed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line under three smoothings of the variances."""
+    df = keep(lines_frame(spark, sf))
+    parts = [
+        models.fit(models.get("gaussian_nb"), df, _NB, {"var_smoothing": v}).transform(df)
+        .select(F.lit(v).alias("var_smoothing"), "l_orderkey", "l_linenumber", "l_extendedprice", F.round(vector_to_array("probability")[1], 6).alias("probability"))
+        for v in _SMOOTHINGS
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
 _KNN_SQL = """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
 d AS (SELECT a.vec_id, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rn
   FROM e a JOIN e b ON a.vec_id <> b.vec_id), n AS (SELECT * FROM d WHERE rn <= 5)"""

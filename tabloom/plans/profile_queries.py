@@ -586,12 +586,11 @@ def cat_ordinal_detect(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "cat_ordinal_order",
-    sql=f"""SELECT "column", string_agg(value, '|' ORDER BY rank, value) AS category_order FROM ({ordinal_values_sql(ORDERS_SQL, _ORD_COLUMNS)})
-    WHERE rank IS NOT NULL GROUP BY "column" HAVING count(*) >= 2""",
+    sql=f"""SELECT "column", value, row_number() OVER (PARTITION BY "column" ORDER BY rank, value) - 1 AS position
+    FROM ({ordinal_values_sql(ORDERS_SQL, _ORD_COLUMNS)}) WHERE rank IS NOT NULL QUALIFY count(*) OVER (PARTITION BY "column") >= 2""",
 )
 def cat_ordinal_order(spark: SparkSession, sf: str) -> DataFrame:
-    found = prof.ordinal_order(orders_frame(spark, sf), _ORD_COLUMNS).where(F.col("category_order").isNotNull())
-    return found.select("column", F.array_join("category_order", "|").alias("category_order"))
+    return prof.ordinal_positions(orders_frame(spark, sf), _ORD_COLUMNS)
 
 
 @query(

@@ -35,6 +35,37 @@ def test_ridge_and_lasso_follow_the_usual_objectives(data):
     np.testing.assert_allclose(got, w, atol=1e-5)
 
 
+@pytest.mark.parametrize("smoothing", [1e-9, 0.1, 2.0])
+def test_gaussian_bayes_follows_its_densities(spark, data, smoothing, tmp_path):
+    df, x, _y = data
+    y = np.array([r["label"] for r in df.orderBy("id").select("label").collect()])
+    added = smoothing * x.var(0).max()
+    joint = []
+    for k in (0, 1):
+        part = x[y == k]
+        v = part.var(0) + added
+        joint.append(np.log(len(part) / len(x)) - 0.5 * (np.log(2 * np.pi * v) + (x - part.mean(0)) ** 2 / v).sum(1))
+    want = 1 / (1 + np.exp(joint[0] - joint[1]))
+    model = models.fit(models.get("gaussian_nb"), df, NAMES, {"var_smoothing": smoothing}, "_s")
+    folder = store.save_model(spark, str(tmp_path), "bayes", model, {})
+    for m in (model, store.load_model(folder)):
+        rows = m.transform(df).orderBy("id").collect()
+        np.testing.assert_allclose([r["probability_s"][1] for r in rows], want, atol=1e-9)
+        assert [r["prediction_s"] for r in rows] == (want > 0.5).astype(float).tolist()
+
+
+def test_gaussian_bayes_of_odd_rows(spark):
+    """A constant feature, a class of one row, a label that does not occur, rows without a label."""
+    df = spark.createDataFrame([(0.0, 1.0, 5.0), (0.0, 2.0, 5.0), (2.0, 9.0, 5.0), (None, 3.0, 5.0)], "label double, a double, b double")
+    rows = models.fit(models.get("gaussian_nb"), df, ["a", "b"]).transform(df).orderBy("a").collect()
+    assert [r["prediction"] for r in rows] == [0, 0, 0, 2]
+    assert all(r["probability"][1] == 0 and sum(r["probability"]) == pytest.approx(1) for r in rows)
+    constant = df.select("label", F.lit(1.0).alias("a"))
+    assert models.fit(models.get("gaussian_nb"), constant, ["a"]).transform(constant).first()["probability"].toArray().tolist() == pytest.approx([2 / 3, 0, 1 / 3])
+    with pytest.raises(ValueError):
+        models.fit(models.get("gaussian_nb"), df.limit(0), ["a"])
+
+
 def test_shap_adds_up(data):
     df, _x, _y = data
     m = models.fit(models.get("extra_trees"), df, NAMES, {"n_estimators": 6, "max_depth": 5})

@@ -83,6 +83,13 @@ def test_first_ordinal_word_decides(spark):
     assert got["category_order"] == ["low", "high", "very high"] and got["n_matches"] == 3
 
 
+def test_ordinal_positions_of_any_number_of_wordings(spark):
+    df = spark.range(1500).select(F.format_string("low %04d", "id").alias("many"), F.lit("high").alias("one"), F.element_at(F.array(*map(F.lit, ["Low", "high", "other"])), (F.col("id") % 3 + 1).cast("int")).alias("two"))
+    got = {(r["column"], r["value"]): r["position"] for r in prof.ordinal_positions(df, ["many", "one", "two"]).collect()}
+    assert got == {("many", f"low {k:04d}"): k for k in range(1500)} | {("two", "low"): 0, ("two", "high"): 1}
+    assert prof.ordinal_positions(df.limit(0), ["many", "two"]).count() == 0
+
+
 def test_redundant_columns_in_priority_order(spark):
     df = spark.range(100).select(
         "id", F.lit(1).alias("one"), F.when(F.col("id") < 5, 1.0).alias("sparse"), (F.col("id") % 7).alias("ok"),
