@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.bayes import GaussianBayes
+from tabloom.operators.margin import MarginMachine
 from tabloom.operators.transformers import RbfSvm
 from tabloom.operators.trees import Forest, LeafwiseBoosting
 
@@ -212,6 +213,8 @@ def _sgd(s: Shape, p: Mapping) -> Estimator:
     if loss == "log_loss":
         mix = 1.0 if p.get("penalty") == "l1" else 0.0
         return _out(LogisticRegression(regParam=alpha, elasticNetParam=mix, standardization=False), s)
+    if p.get("penalty") == "l1":
+        return MarginMachine(featuresCol=FEATURES, labelCol=LABEL, loss="hinge", l1=float(alpha), suffix=s.suffix)
     svc = LinearSVC(regParam=alpha, standardization=False).setFeaturesCol(FEATURES).setLabelCol(LABEL)
     return svc.setPredictionCol(f"prediction{s.suffix}").setRawPredictionCol(f"rawPrediction{s.suffix}")
 

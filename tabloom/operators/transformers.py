@@ -15,12 +15,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasInputCol, HasInputCols, HasLabelCol, HasOutputCol, HasSeed
 from pyspark.ml.pipeline import Pipeline, PipelineModel
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.operators.margin import MarginMachine
+
 Columns = Callable[[Column], Column]
 FUNCTIONS: dict[str, Columns] = {
     "log": lambda c: F.when(c > 0, F.ln(c)),
@@ -151,18 +152,21 @@ class RbfSvm(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsReada
     """RBF support vector machine on random Fourier features.
 
     Classification: linear SVM plus a logistic calibration of its margin.  Regression:
-    ridge on the same features (the library has no epsilon-insensitive loss).
+    the epsilon-insensitive loss on the same features.
     """
 
     C = Param(Params._dummy(), "C", "inverse penalty", TypeConverters.toFloat)
     problem = Param(Params._dummy(), "problem", "classification or regression", TypeConverters.toString)
     suffix = Param(Params._dummy(), "suffix", "suffix of output columns", TypeConverters.toString)
     components = Param(Params._dummy(), "components", "number of random features", TypeConverters.toInt)
+    epsilon = Param(Params._dummy(), "epsilon", "half width of the tube without loss", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", labelCol="label", C=1.0, problem="classification", suffix="", components=200, seed=42):
+    def __init__(
+        self, *, featuresCol="features", labelCol="label", C=1.0, problem="classification", suffix="", components=200, epsilon=0.1, seed=42
+    ):
         super().__init__()
-        self._setDefault(C=1.0, problem="classification", suffix="", components=200, seed=42)
+        self._setDefault(C=1.0, problem="classification", suffix="", components=200, epsilon=0.1, seed=42)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> PipelineModel:
@@ -176,10 +180,10 @@ class RbfSvm(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsReada
         )
         reg = 1.0 / (self.getOrDefault("C") * n)
         if self.getOrDefault("problem") == "regression":
-            ridge = LinearRegression(
-                featuresCol=f"_rff{sfx}", labelCol=self.getLabelCol(), predictionCol=f"prediction{sfx}", regParam=reg, standardization=False
+            tube = MarginMachine(
+                featuresCol=f"_rff{sfx}", labelCol=self.getLabelCol(), loss="epsilon", l2=reg, epsilon=self.getOrDefault("epsilon"), suffix=sfx
             )
-            return Pipeline(stages=[rff, ridge]).fit(df)
+            return Pipeline(stages=[rff, tube]).fit(df)
         svc = LinearSVC(
             featuresCol=f"_rff{sfx}", labelCol=self.getLabelCol(), predictionCol=f"prediction{sfx}", rawPredictionCol=f"_margin{sfx}",
             regParam=reg, standardization=False, tol=1e-4,

@@ -77,6 +77,14 @@ for _name, _model, _problem in (
     _model_query(_name, _model, _problem)
 
 
+@query("clf_hinge_l1")
+def clf_hinge_l1(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of the hinge loss under an absolute penalty; features it does not need have exactly 0."""
+    m = models.fit(models.get("sgd_classifier"), keep(doc_features(spark, sf)), NAMES, {"penalty": "l1", "alpha": 0.01}).stages[-1]
+    rows = [(n, float(w), bool(w == 0)) for n, w in zip(NAMES, m.coefficients)]
+    return spark.createDataFrame(rows, "feature string, weight double, dropped boolean").withColumn("weight", F.round("weight", 6))
+
+
 @query(
     "reg_ridge",
     sql="""WITH m AS (SELECT count(*)::DOUBLE AS n, avg(l_quantity) AS ma, avg(l_discount) AS mb, avg(l_extendedprice) AS my,
