@@ -10,29 +10,27 @@ ten shorter ones.  The rounded loss is at most ``mu / 2`` below the true one, wh
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol
-from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.functions.sums import matrix, sum_over
 from tabloom.session import keep
 
 SHRINK = 5.0  # of the rounding from level to level
 STEPS_PER_LEVEL = 12
 SHORTER = 0.5 ** np.arange(1, 11)
 DAMPING = 1e-6
-TOLERANCE = 1e-7  # relative descent that ends a level
-SUM_GROUPS = 32  # the sums of more partitions than this meet in so many tasks first
+TOLERANCE = 1e-4  # descent that ends a level, in units of the rounding
 
 
 def hinge(m: np.ndarray, y: np.ndarray, mu: float, _epsilon: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,20 +56,8 @@ LOSSES: dict[str, Callable] = {"hinge": hinge, "epsilon": insensitive}
 
 
 def _sum_over(rows: DataFrame, one: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
-    """Sum of ``one(x, y)`` over batches: one row of numbers per partition, then two levels of sums."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size)
-        for pdf in batches:
-            if len(pdf):
-                x = np.stack(pdf["x"].to_numpy())
-                total += one(np.column_stack([x, np.ones(len(x))]), pdf["y"].to_numpy())
-        yield pd.DataFrame({"v": [total]})
-
-    part = rows.mapInPandas(run, "v array<double>").select(array_to_vector("v").alias("v"))
-    if rows.rdd.getNumPartitions() > SUM_GROUPS:
-        part = part.groupBy(F.pmod(F.spark_partition_id(), F.lit(SUM_GROUPS))).agg(Summarizer.sum(F.col("v")).alias("v"))
-    return part.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"].toArray()
+    """Sum of ``one(x, y)`` over batches, a column of ones behind the features."""
+    return sum_over(rows, lambda p: one(np.column_stack([matrix(p["x"]), np.ones(len(p))]), p["y"].to_numpy()), size)
 
 
 def proximal_step(w: np.ndarray, grad: np.ndarray, curve: np.ndarray, l1: float) -> np.ndarray:
@@ -142,7 +128,7 @@ def minimise(
                 w = at
                 value, grad, curve = measure(w, mu)
                 passes += 1
-            if before - value <= TOLERANCE * max(abs(before), 1e-12):
+            if before - value <= TOLERANCE * mu:
                 break
         if mu <= least:
             return w, value, passes

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.operators import dates, encode, impute, power, scale, text
+from tabloom.operators import dates, encode, impute, power, scale, text, word_vectors
 from tabloom.operators.preprocess import TabularPreprocessor
 from tabloom.plans.frames import (
     DOCS_SQL,
@@ -469,6 +469,20 @@ def txt_hash(spark: SparkSession, sf: str) -> DataFrame:
     return text.hash_counts(table(spark, sf, "documents"), "doc_id", "text")
 
 
+@query(
+    "txt_word_pmi",
+    sql=f"""WITH d AS (SELECT {tokens_sql('lower(text)')} AS t FROM documents), h AS (SELECT unnest(list_zip(t[:len(t) - k], t[k + 1:])) AS p FROM d, range(1, 6) r(k) WHERE len(t) > k),
+    g AS (SELECT p[1] AS x, p[2] AS y, count(*) AS n FROM h GROUP BY 1, 2), s AS (SELECT x AS a, y AS b, n FROM g UNION ALL SELECT y, x, n FROM g),
+    c AS (SELECT a, b, sum(n)::BIGINT AS n FROM s GROUP BY 1, 2), m AS (SELECT a, sum(n)::DOUBLE AS w FROM c GROUP BY 1),
+    v AS (SELECT c.a, c.b, n, ln(n * (SELECT sum(w) FROM m) / (x.w * y.w)) AS pmi FROM c JOIN m x ON c.a = x.a JOIN m y ON c.b = y.a)
+    SELECT a, b, n, round(pmi, 6) AS pmi FROM v WHERE round(pmi, 6) > 0""",
+)
+def txt_word_pmi(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pair of words that stand near each other more often than by chance."""
+    out = word_vectors.positive_information(word_vectors.cooccurrences(table(spark, sf, "documents"), "text"))
+    return out.select("a", "b", "n", F.round("pmi", 6).alias("pmi")).where("pmi > 0")
+
+
 @query("txt_embeddings")
 def txt_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     out = text.embeddings(table(spark, sf, "documents"), "doc_id", "text")

@@ -127,16 +127,6 @@ def test_wide_tables_are_not_broadcast(spark):
     assert out.where("v is not null").count() == 40
 
 
-def test_words_of_embeddings_are_cut_exactly(spark):
-    from tabloom.operators import text
-
-    df = spark.createDataFrame([(i, f"w{i} w{i + 1}") for i in range(30)] + [(90, None), (91, "")], "id long, t string")
-    got = {r["id"]: r["embedding"] for r in text.embeddings(df, "id", "t", size=4, max_features=5).collect()}
-    assert len(got) == 32 and got[90] == got[91] == got[25] == [0.0] * 4
-    assert any(v != [0.0] * 4 for v in got.values())
-    assert text.embeddings(df.where("id > 50"), "id", "t", size=2).first()["embedding"] == [0.0, 0.0]
-
-
 def test_prefix_sums_over_struct_keys(spark):
     from tabloom.functions.running import prefix_sums
 
