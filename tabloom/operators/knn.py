@@ -4,7 +4,7 @@ Rows of both sides are assigned to the nearest of a bounded set of pivots.  Per
 cell only (count, distance range) by ring is kept; from these, the triangle inequality
 gives each query cell a radius that must hold k neighbours, and a ring is sent to a
 query cell only if it can reach inside that radius.  A (cell, ring) pair is cut into
-blocks of bounded size by row hash, each block pair is one numpy product in a task that
+blocks of bounded size by row hash, each block pair is a numpy product in slices in a task that
 emits at most k rows per query, and partial results merge per query.  No pair of rows
 is ever materialised and a crowded cell spreads over many tasks.
 """
@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 PIVOTS, RINGS = 64, 8
 BLOCK_ROWS = 2048
+BLOCK_MOST, BLOCK_CELLS = 1 << 15, 1 << 21  # rows and numbers that a block never exceeds, except for its least rows
+BLOCKS = 8  # blocks of a side aimed at: every block of one side is a copy of the other
+BLOCK_SLICE = 1024  # queries compared by key at a time
 QUERY_SLICE = 64  # queries per matrix product
 ROUNDING = 1e-9  # relative slack of squared distances from products
 MERGE_BLOCKS = 64
@@ -47,8 +50,10 @@ def _assign(df: DataFrame, key: str, vector: str, pivots: np.ndarray, extra: Seq
                 pdf["cell"], pdf["dist"] = pd.Series([], dtype="int32"), pd.Series([], dtype=float)
             yield pdf
 
-    schema = ", ".join(f"`{c}` {types[c]}" for c in (key, *extra)) + ", v array<double>, cell int, dist double"
-    return df.select(key, *extra, F.col(vector).cast("array<double>").alias("v")).mapInPandas(run, schema)
+    # single-precision vectors travel as such: widening them in the task gives the same numbers
+    kind = types[vector] if types[vector] == "array<float>" else "array<double>"
+    schema = ", ".join(f"`{c}` {types[c]}" for c in (key, *extra)) + f", v {kind}, cell int, dist double"
+    return df.select(key, *extra, F.col(vector).cast(kind).alias("v")).mapInPandas(run, schema)
 
 
 def _matrix(s: pd.Series) -> np.ndarray:
@@ -110,6 +115,12 @@ def _nearest(q: np.ndarray, t: np.ndarray, k: int, same: np.ndarray | None) -> t
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _blocks(n: int, size: int) -> int:
+    """Blocks that ``n`` rows of ``size`` numbers are cut into: about ``BLOCKS`` while these fit, so copies grow with the rows."""
+    most = max(BLOCK_ROWS, min(BLOCK_MOST, BLOCK_CELLS // max(size, 1)))
+    return math.ceil(n / min(most, max(BLOCK_ROWS, math.ceil(n / BLOCKS))))
+
+
 def neighbours(
     queries: DataFrame, train: DataFrame, key: str, vector: str, k: int, extra: Sequence[str] = (), drop_self: bool = False
 ) -> DataFrame:
@@ -132,7 +143,7 @@ def neighbours(
     t_rows: dict[int, int] = {}
     for qc, c, r in triples:
         t_rows[qc] = t_rows.get(qc, 0) + sizes[(c, r)]
-    blocks = [(r["cell"], math.ceil(r["n"] / BLOCK_ROWS), math.ceil(t_rows[r["cell"]] / BLOCK_ROWS)) for r in cells]
+    blocks = [(r["cell"], _blocks(r["n"], pivots.shape[1]), _blocks(t_rows[r["cell"]], pivots.shape[1])) for r in cells]
     grid = F.broadcast(spark.createDataFrame(blocks, "qcell int, qblocks int, tblocks int"))
     plan = F.broadcast(spark.createDataFrame(triples, "qcell int, cell int, ring int"))
     # a query row visits every training block of its cell, a training row every query block
@@ -156,10 +167,15 @@ def neighbours(
         if not len(left) or not len(right):
             return empty
         right = right.sort_values("neighbour")
-        same = (left[key].to_numpy()[:, None] == right["neighbour"].to_numpy()[None, :]) if drop_self else None
-        qi, ti, d = _nearest(_matrix(left["v"]), _matrix(right["v"]), k, same)
+        q, t, names, others = _matrix(left["v"]), _matrix(right["v"]), left[key].to_numpy(), right["neighbour"].to_numpy()
+        found = []
+        for lo in range(0, len(q), BLOCK_SLICE):
+            same = (names[lo : lo + BLOCK_SLICE, None] == others[None, :]) if drop_self else None
+            qi, ti, d = _nearest(q[lo : lo + BLOCK_SLICE], t, k, same)
+            found.append((qi + lo, ti, d))
+        qi, ti, d = (np.concatenate(x) for x in zip(*found))
         out = right.iloc[ti][["neighbour", *extra]].copy()
-        out["distance"], out[key], out["tg"] = d, left[key].to_numpy()[qi], int(left["tb"].iloc[0]) // MERGE_BLOCKS
+        out["distance"], out[key], out["tg"] = d, names[qi], int(left["tb"].iloc[0]) // MERGE_BLOCKS
         return out[[key, "tg", "neighbour", "distance", *extra]]
 
     partial = qs.groupBy("qcell", "qb", "tb").cogroup(ts.groupBy("qcell", "qb", "tb")).applyInPandas(block, schema)
