@@ -36,3 +36,16 @@ def test_shares_count_characters(spark, tmp_path):
         assert got[i]["digit_share"] == sum("0" <= c <= "9" for c in t) / n
         assert got[i]["space_share"] == sum(c in " \t\n" for c in t) / n
         assert got[i]["symbol_share"] == sum(not (c.isalnum() or c in " .,;:!?") for c in t) / n
+
+
+def test_features_of_many_files_are_read_by_as_many_tasks_as_there_are_cores(spark, tmp_path):
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("Text "), F.col("id")).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(8).cast("long").alias("n_chars"))
+    rows.repartition(30).write.parquet(f"{tmp_path}/documents.parquet")
+    rows.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", 1 << 27)
+    try:
+        df = frames.doc_features(spark, str(tmp_path))
+        assert frames.raw_doc_features(spark, str(tmp_path)).rdd.getNumPartitions() > 8
+        assert df.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism and df.count() == 400
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -167,3 +167,31 @@ def test_ensemble_round_trip(table, tmp_path):
     assert back.featureImportances.toArray().sum() == pytest.approx(1)
     with pytest.raises(ValueError):
         trees.Forest().fit(df.limit(0))
+
+
+def test_sums_meet_in_pieces(table, monkeypatch):
+    """Sums of tasks come straight to the driver or meet in pieces first; both are the plain sums."""
+    df, x, y = table
+    edges = trees.feature_edges(rows_of(df), 3)
+    level = trees.Level([(0, trees.Tree([-1], [0.0], [-1], [-1], [0.0], [1.0], [0.0]).arrays())], [np.zeros(1, np.int32)], [np.arange(3)[None, :]], None, edges)
+    stats = lambda x, y, h, m, t: np.stack([np.ones(len(y)), y], axis=1)
+    want = [np.bincount(np.searchsorted(e, x[:, f]), y, level.width) for f, e in enumerate(edges)]
+    for piece, direct in ((1 << 15, 1 << 15), (7, 0), (5, 1 << 15)):
+        monkeypatch.setattr(trees, "PIECE", piece)
+        monkeypatch.setattr(trees, "DIRECT", direct)
+        (got,) = trees.cell_sums(rows_of(df), level, stats, 2)
+        assert got.shape == (1, 3, level.width, 2) and got[0, :, :, 0].sum() == 3 * len(y)
+        np.testing.assert_allclose(got[0, :, :, 1], want)
+
+
+def test_binned_rows_boost_the_trees_of_the_values(table):
+    df, x, y = table
+    rows = rows_of(df)
+    edges = trees.feature_edges(rows, 3)
+    packed = trees.binned_rows(rows, edges)
+    got = {r["h"]: list(r["x"]) for r in packed.collect()}
+    assert got == {r["h"]: [int(np.searchsorted(e, v)) for e, v in zip(edges, r["x"])] for r in rows.collect()}
+    how = trees.Boosting(rounds=1, leaves=9, min_samples_leaf=15, subsample=1.0, colsample=1.0)
+    base, (tree,) = trees.boost(df, "features", "label", 3, how, True)
+    plain = trees.leafwise_tree(rows, 3, trees._slopes([], how, base, True, 0), edges, np.arange(3), how)
+    assert alike(shape_of(tree), shape_of(plain)) and len(tree.feature) > 5
