@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +33,22 @@ from tabloom.plans.sqltext import (
     typed,
     with_frame,
 )
-from tabloom.session import shared_folder
+from tabloom.session import keep, shared_folder, together
 from tabloom.sources import tables as src
 
+
+def profiled(frame: Callable[[SparkSession, str], DataFrame], spark: SparkSession, sf: str, columns: Sequence[str] | None = None, mode: str = "effective"):
+    """The profile of a frame.  A profile reads its frame in many passes, so a frame that joins large tables is joined once."""
+    df = frame(spark, sf)
+    joined = keep(df.select(*columns) if columns else df) if frame is orders_frame else None
+    if joined is None:
+        return prof.profile(df, columns, mode)
+    joined.count()
+    out = prof.profile(joined, columns, mode)
+    joined.unpersist()
+    return out
+
+
 ORDER_KINDS = {
     "o_orderkey": "int", "o_custkey": "int", "o_orderstatus": "string", "o_orderdate": "datetime",
     "o_orderpriority": "string", "price_known": "float", "price_urgent": "float", "final_flag": "int",
@@ -202,7 +216,7 @@ def drop_redundant(spark: SparkSession, sf: str) -> DataFrame:
     SELECT feature_type, count(*) AS n_columns, string_agg("column", ',' ORDER BY p) AS columns FROM o WHERE drop_reason IS NULL GROUP BY feature_type""",
 )
 def route_features(spark: SparkSession, sf: str) -> DataFrame:
-    return col_ops.route(prof.profile(orders_frame(spark, sf)))
+    return col_ops.route(profiled(orders_frame, spark, sf))
 
 
 @query("project_selected", sql="SELECT l_orderkey, l_linenumber, l_quantity AS f0, l_tax AS f1 FROM lineitem")
@@ -246,7 +260,7 @@ def _register_predicate(name: str, flag: str, sql: str) -> None:
     @query(name, sql=whole)
     def run(spark: SparkSession, sf: str) -> DataFrame:
         docs = prof.profile(docs_frame(spark, sf), [c for c in _DOC_KINDS if c != "doc_id"])
-        orders = prof.profile(orders_frame(spark, sf), _PRED_ORDER_COLUMNS)
+        orders = profiled(orders_frame, spark, sf, _PRED_ORDER_COLUMNS)
         return docs.select("column", flag).unionAll(orders.select("column", flag))
 
 
@@ -500,7 +514,7 @@ def prof_full(spark: SparkSession, sf: str) -> DataFrame:
     FROM d WHERE feature_type = 'numerical' AND drop_reason IS NULL""",
 )
 def profile_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return prof.profile_summary(prof.profile(orders_frame(spark, sf)))
+    return prof.profile_summary(profiled(orders_frame, spark, sf))
 
 
 # ---- typing and decision rules --------------------------------------------------------------
@@ -529,9 +543,8 @@ def _rule_query(name: str, fields: tuple[str, ...], mode: str = "effective", fra
 
     @query(name, sql=sql)
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        parts = [
-            prof.profile(f(spark, sf), list(ks), mode).select(F.lit(n).alias("source"), "column", *fields) for n, f, _s, ks in frames
-        ]
+        profiles = together(*[lambda f=f, ks=ks: profiled(f, spark, sf, list(ks), mode) for _n, f, _s, ks in frames])
+        parts = [p.select(F.lit(n).alias("source"), "column", *fields) for p, (n, _f, _s, _k) in zip(profiles, frames)]
         out = parts[0]
         for p in parts[1:]:
             out = out.unionAll(p)
@@ -600,7 +613,7 @@ def cat_ordinal_order(spark: SparkSession, sf: str) -> DataFrame:
     WHERE feature_type IN ('categorical_nominal', 'categorical_ordinal')""",
 )
 def cat_dispatch(spark: SparkSession, sf: str) -> DataFrame:
-    p = prof.profile(orders_frame(spark, sf))
+    p = profiled(orders_frame, spark, sf)
     return p.where(F.col("feature_type").startswith("categorical")).select(
         "column", "feature_type", "cardinality", F.round("most_frequent_ratio", 8).alias("most_frequent_ratio"), "has_rare"
     )
