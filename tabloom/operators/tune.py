@@ -138,7 +138,7 @@ def tune(
 ) -> Tuned:
     """Best candidate by the primary metric over the frame's ``fold`` column (``folds`` values).
 
-    Candidates run concurrently; each scores its folds in one grouped aggregation.
+    Candidates run concurrently and share what depends on a fold only; each scores its folds in one grouped aggregation.
     """
     metric = metrics.PRIMARY[problem]
     fit_key = lambda c: tuple(sorted((k, str(v)) for k, v in c.items() if k not in INERT))
@@ -146,13 +146,18 @@ def tune(
     for c in candidates:
         distinct.setdefault(fit_key(c), dict(c))
 
+    trainings = [models.Training(df.where(df.fold != i), names) for i in range(folds)]
+
     def score(params: Mapping) -> float:
-        fit = lambda train, _i: models.fit(spec, train, names, params)
-        ms = [fit(df.where(df.fold != i), i) for i in range(folds)]
+        ms = [t.fit(spec, params) for t in trainings]
         return cv.average_metrics(cv.fold_metrics(cv.fold_predictions(df, ms), problem, auc=False))[f"test_{metric}"]
 
     unique = list(distinct.values())
-    scores = together(*[lambda p=p: score(p) for p in unique])
+    try:
+        scores = together(*[lambda p=p: score(p) for p in unique])
+    finally:
+        for t in trainings:
+            t.done()
     lower = metric in metrics.LOWER_IS_BETTER
     best = min(range(len(unique)), key=lambda i: (scores[i] if lower else -scores[i], i))
     by_key = dict(zip(distinct, scores))  # every candidate is a trial, with the score of the fit it shares
