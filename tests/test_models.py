@@ -161,3 +161,9 @@ def test_neighbours_of_equal_and_distant_vectors():
         want = np.argsort(exact, kind="stable")[:4]
         assert ti[qi == i].tolist() == want.tolist() and d[qi == i] == pytest.approx(exact[want])
     assert 80 not in qi
+
+
+def test_library_forests_keep_the_nodes_of_rows():
+    for problem in ("classification", "regression"):
+        est = models.get("random_forest", problem).build(models.Shape(100), {})
+        assert est.getCacheNodeIds() and est.getNumTrees() == 100
