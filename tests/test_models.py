@@ -167,3 +167,22 @@ def test_library_forests_keep_the_nodes_of_rows():
     for problem in ("classification", "regression"):
         est = models.get("random_forest", problem).build(models.Shape(100), {})
         assert est.getCacheNodeIds() and est.getNumTrees() == 100
+
+
+def test_elimination_scores_all_sizes_in_one_reading(spark, monkeypatch):
+    df = spark.range(240).select(
+        "id", *[(F.xxhash64("id", F.lit(c)) % 100 / 100).alias(c) for c in ("p", "q", "r")], (F.col("id") % 2).cast("double").alias("fold_key")
+    ).withColumn("label", (F.col("p") > 0).cast("double")).withColumn("rfe_fold", (F.col("id") % 2).cast("int")).persist()
+    scored, real = [], selectors.metrics.classification
+    monkeypatch.setattr(selectors.metrics, "classification", lambda d, *a: scored.append(d) or real(d, *a))
+    spec = models.get("LogisticRegression")
+    names, mean = selectors.rfe_cv(df, ["p", "q", "r"], "classification", spec, {}, 1, 2)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in scored]
+    assert len(plans) == 2 and all(p.count("InMemoryRelation") == 1 for p in plans)
+    want = {}
+    for i in range(2):
+        train, test = df.where(F.col("rfe_fold") != i), df.where(F.col("rfe_fold") == i)
+        for live, model in selectors.elimination_path(train, ["p", "q", "r"], spec, {}, 1):
+            r = model.transform(test).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+            want.setdefault(len(live), []).append(r)
+    assert mean == {size: sum(v) / 2 for size, v in want.items()} and "p" in names
